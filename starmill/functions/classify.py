@@ -57,10 +57,9 @@ def level_from_title(title: Column) -> Column:
 def years_asked(description: Column) -> Column:
     """Years of experience named in the text; the first pattern that occurs decides."""
     low = F.lower(or_blank(description))
-    digits = F.coalesce(
-        *[F.nullif(F.regexp_extract(low, p, 1), F.lit("")) for p in YEARS_PATTERNS]
-    )
-    return whole_number(digits, 1_000)
+    found = [F.nullif(F.regexp_extract(low, p, 1), F.lit("")) for p in YEARS_PATTERNS]
+    # All patterns need this word, and looking for it alone costs no regex.
+    return whole_number(F.when(low.contains("year"), F.coalesce(*found)), 1_000)
 
 
 def level_from_years(years: Column) -> Column:
@@ -77,7 +76,8 @@ def recovered_city(city: Column, *texts: Column) -> Column:
 
 
 def is_remote(title: Column, description: Column) -> Column:
-    return F.lower(F.concat_ws(" ", or_blank(title), or_blank(description))).rlike(REMOTE)
+    low = F.lower(F.concat_ws(" ", or_blank(title), or_blank(description)))
+    return low.contains("remote") & low.rlike(REMOTE)
 
 
 def has_value(c: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill import rules
@@ -27,44 +27,34 @@ def ascii_digits(c: Column) -> Column:
 
 
 def whole_number(digits: Column, cap: int) -> Column:
-    """The value of a run of digits in any script, at most ``cap``; NULL for no digits."""
-    plain = F.ltrim(ascii_digits(digits), F.lit("0"))
-    value = F.when(F.length(plain) > 15, F.lit(cap)).otherwise(
+    """The value of a run of digits in any script, at most ``cap``; NULL for NULL."""
+    ascii_only = F.when(digits.rlike("^[0-9]+$"), digits).otherwise(ascii_digits(digits))
+    plain = F.ltrim(ascii_only, F.lit("0"))
+    capped = F.when(F.length(plain) > 15, F.lit(cap)).otherwise(
         F.least(F.coalesce(plain.try_cast("bigint"), F.lit(0)), F.lit(cap))
     )
-    return F.when(digits != "", value)
+    return F.when(digits.isNotNull(), capped)
 
 
 def fetched_time(c: Column) -> Column:
     return F.try_to_timestamp(c, F.lit(rules.FETCHED_AT_FORMAT))
 
 
-def seconds_ago(text: Column) -> Column:
-    """Seconds a relative phrase lies back, NULL when the text is no such phrase."""
-    phrases = F.create_map(*[F.lit(x) for p in rules.RELATIVE_PHRASES.items() for x in p])
-    tries = [F.try_element_at(phrases, text).cast("bigint")]
-    for unit_words, unit in rules.RELATIVE_UNITS:
-        pattern = rf"{rules.RELATIVE_PREFIX}{WS}+(\p{{Nd}}+){WS}+(?:{'|'.join(unit_words)})"
-        count = whole_number(F.regexp_extract(text, pattern, 1), _TOO_LONG)
-        # ``least`` skips NULL, so an absent count has to stay absent by itself.
-        span = F.least(count * F.lit(unit), F.lit(_TOO_LONG))
-        tries.append(F.when(count.isNotNull(), span))
-    return F.coalesce(*tries)
-
-
 # Shape of the text -> formats tried on it, in order.
-_ABSOLUTE = [
+_NUMERIC_SHAPES = [
     (r"\d{8}", ["yyyyMMdd"]),
     (r"\d{14}", ["yyyyMMddHHmmss"]),
     (r"\d{4}/\d{1,2}/\d{1,2}", ["yyyy/M/d"]),
     (r"\d{1,2}/\d{1,2}/\d{4}", ["M/d/yyyy", "d/M/yyyy"]),
     (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}", ["M/d/yyyy H:mm", "d/M/yyyy H:mm"]),
+    (r"\d{1,2} \p{L}{3} \d{4}", ["d MMM yyyy"]),
+    (r"\d{1,2} \p{L}{4,9} \d{4}", ["d MMMM yyyy"]),
+]
+_NAMED_SHAPES = [
     (r"\p{L}{3} \d{1,2}, \d{4}", ["MMM d, yyyy"]),
     (r"\p{L}{3} \d{1,2}, \d{4} \d{1,2}:\d{2}", ["MMM d, yyyy H:mm"]),
     (r"\p{L}{4,9} \d{1,2}, \d{4}", ["MMMM d, yyyy"]),
     (r"\p{L}{4,9} \d{1,2}, \d{4} \d{1,2}:\d{2}", ["MMMM d, yyyy H:mm"]),
-    (r"\d{1,2} \p{L}{3} \d{4}", ["d MMM yyyy"]),
-    (r"\d{1,2} \p{L}{4,9} \d{4}", ["d MMMM yyyy"]),
     (r"\p{L}{3} \d{4}", ["MMM yyyy"]),
     (r"\p{L}{4,9} \d{4}", ["MMMM yyyy"]),
 ]
@@ -74,37 +64,81 @@ _ISO = (
 )
 
 
+def _by_shape(text: Column, shapes: list[tuple[str, list[str]]]) -> Column:
+    chain = None
+    for shape, formats in shapes:
+        parsed = F.coalesce(*[F.try_to_timestamp(F.initcap(text), F.lit(f)) for f in formats])
+        matches = text.rlike(f"^{shape}$")
+        chain = F.when(matches, parsed) if chain is None else chain.when(matches, parsed)
+    return chain
+
+
 def absolute_time(text: Column) -> Column:
     """A date or timestamp spelled out; without a zone it is UTC.
 
     Only the listed spellings are read.  Spellings that depend on the wall clock ("today",
     "10:30") are NULL, so a rerun gives the same result.
     """
-    zoned = F.regexp_replace(text, r"([+-]\d{2}):?(\d{2})$", "$1:$2")
     # A date alone also ends in "-dd"; only text with a clock time can carry a zone.
-    iso = F.when(text.contains(":"), zoned).otherwise(text)
-    tries = [F.when(text.rlike(_ISO), iso.try_cast("timestamp"))]
-    for shape, formats in _ABSOLUTE:
-        parsed = F.coalesce(*[F.try_to_timestamp(F.initcap(text), F.lit(f)) for f in formats])
-        tries.append(F.when(text.rlike(f"^{shape}$"), parsed))
-    return F.coalesce(*tries)
+    zoned = F.regexp_replace(text, r"([+-]\d{2}):?(\d{2})$", "$1:$2")
+    iso = F.when(text.contains(":"), zoned).otherwise(text).try_cast("timestamp")
+    return (
+        F.when(text.rlike(_ISO), iso)
+        .when(text.rlike(r"^\d"), _by_shape(text, _NUMERIC_SHAPES))
+        .when(text.rlike(r"^\p{L}"), _by_shape(text, _NAMED_SHAPES))
+    )
 
 
-def posted_time(value: Column, fetched: Column) -> Column:
-    """When a posting went up: relative to the fetch, else absolute, else NULL.
+def with_posted_time(df: DataFrame, value: str, fetched: str, out: str) -> DataFrame:
+    """Add ``out``, when a posting went up: relative to the fetch, else absolute, else NULL.
 
-    NULL whenever the fetch time is unknown, for absolute spellings too.
+    NULL whenever the fetch time is unknown, for absolute spellings too.  The steps are
+    separate columns, so no pattern is matched twice on a row.
     """
-    text = F.translate(strip(value), rules.ARABIC_DIGITS, "0123456789")
-    back = seconds_ago(text)
+    text, count, unit, back = "__text", "__count", "__unit", "__back"
+    known = F.col(fetched).isNotNull()
+    rows = df.withColumn(
+        text, F.when(known, F.translate(strip(F.col(value)), rules.ARABIC_DIGITS, "0123456789"))
+    )
+
+    counted = F.col(text).contains(rules.RELATIVE_PREFIX)
+    digits = {}
+    for i, (unit_words, _) in enumerate(rules.RELATIVE_UNITS):
+        pattern = rf"{rules.RELATIVE_PREFIX}{WS}+(\p{{Nd}}+){WS}+(?:{'|'.join(unit_words)})"
+        digits[f"__digits{i}"] = F.when(
+            counted, F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+        )
+    rows = rows.withColumns(digits)
+
+    seconds = [F.lit(unit_seconds) for _, unit_seconds in rules.RELATIVE_UNITS]
+    rows = rows.withColumns(
+        {
+            count: whole_number(F.coalesce(*digits), _TOO_LONG),
+            unit: F.coalesce(*[F.when(F.col(d).isNotNull(), s) for d, s in zip(digits, seconds)]),
+        }
+    )
+
+    phrases = F.create_map(*[F.lit(x) for p in rules.RELATIVE_PHRASES.items() for x in p])
+    rows = rows.withColumn(
+        back,
+        F.coalesce(
+            F.col(count) * F.col(unit), F.try_element_at(phrases, F.col(text)).cast("bigint")
+        ),
+    )
+
     relative = F.when(
-        back < _TOO_LONG,
-        F.timestamp_micros(F.unix_micros(fetched) - back * F.lit(1_000_000)),
+        F.col(back) <= _LONGEST_SPAN,
+        F.timestamp_micros(F.unix_micros(fetched) - F.col(back) * F.lit(1_000_000)),
+    )
+    rows = rows.withColumn(
+        out,
+        F.when(F.col(back).isNotNull(), relative).otherwise(absolute_time(F.col(text))),
     )
-    in_range = F.when(relative >= F.lit(_EARLIEST).cast("timestamp"), relative)
-    return F.when(
-        fetched.isNotNull(), F.when(back.isNotNull(), in_range).otherwise(absolute_time(text))
+    # Before the first instant the rules' clock can tell, there is no time.
+    rows = rows.withColumn(
+        out, F.when(F.col(out) >= F.lit(_EARLIEST).cast("timestamp"), F.col(out))
     )
+    return rows.drop(text, count, unit, back, *digits)
 
 
 def date_key(d: Column) -> Column:

@@ -30,7 +30,6 @@ _WS_SET = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WS = f"[{_WS_SET}]"
-_WS_BUT_SPACE = f"[{_WS_SET}&&[^ ]]"
 
 # A word character, and its edges as lookarounds.
 WORD = r"[\p{L}\p{N}_]"
@@ -95,10 +94,12 @@ def is_filled(c: Column) -> Column:
 def squeeze(c: Column) -> Column:
     """Strip, and turn each run of white space into one space.
 
-    Only runs that need a change are matched, so clean cells are not rebuilt; afterwards the
+    Cells in plain ASCII without a double space skip the costly Unicode class; afterwards the
     plain space is the only white space left and the cheap ``trim`` does the ends.
     """
-    return F.trim(F.regexp_replace(c, f"{WS}{{2,}}|{_WS_BUT_SPACE}", " "))
+    runs = F.regexp_replace(c, f"{WS}+", " ")
+    suspect = c.contains("  ") | c.rlike("[^ -~]")
+    return F.trim(F.when(suspect, runs).otherwise(c))
 
 
 def title_case(c: Column) -> Column:

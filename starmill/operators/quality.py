@@ -126,8 +126,8 @@ def boolean_checks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def whitespace_checks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: cells that start with white space, that end with it, that hold a run.
 
-    ``leading`` is what the status goes by, together with ``repeated``; ``trailing`` is
-    reported beside them.
+    The status goes by ``leading_ws`` and ``repeated_ws``; ``trailing_ws`` is reported beside
+    them.
     """
     wide = df.agg(
         *[
@@ -144,12 +144,12 @@ def whitespace_checks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         wide,
         "column_name",
         columns,
-        leading="__leading",
-        trailing="__trailing",
-        repeated="__repeated",
+        leading_ws="__leading",
+        trailing_ws="__trailing",
+        repeated_ws="__repeated",
     ).withColumn(
         "status",
-        F.when((F.col("leading") == 0) & (F.col("repeated") == 0), F.lit("PASS")).otherwise(
+        F.when((F.col("leading_ws") == 0) & (F.col("repeated_ws") == 0), F.lit("PASS")).otherwise(
             F.lit("WARNING")
         ),
     )

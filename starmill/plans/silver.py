@@ -54,9 +54,7 @@ def plain_description(df: DataFrame) -> DataFrame:
 
 def times(df: DataFrame) -> DataFrame:
     fetched = df.withColumn("fetched_at", dates.fetched_time(F.col("fetched_at")))
-    return fetched.withColumn(
-        "posted_at", dates.posted_time(F.col("posted_at"), F.col("fetched_at"))
-    )
+    return dates.with_posted_time(fetched, "posted_at", "fetched_at", "posted_at")
 
 
 def levels(df: DataFrame) -> DataFrame:
