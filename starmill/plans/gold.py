@@ -6,8 +6,10 @@ is written once per job, and a job's set of skills only grows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,9 @@ SCHEMAS = {
 def job_id(title: Column, company: Column, location: Column, link: Column) -> Column:
     """Sixteen hex digits that stay the same for the same posting, whatever its case."""
     parts = [F.lower(T.strip(T.or_blank(c))) for c in (title, company, location, link)]
-    return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)
+    digest = F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)
+    # Never NULL, and said so: otherwise each join on the id hashes again to test for NULL.
+    return T.or_blank(digest)
 
 
 def load_input(silver: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -208,38 +212,47 @@ def candidates(rows: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _side_by_side(steps: Sequence[Callable[[], None]]) -> None:
+    """Run independent writes at the same time, so a long tail of one leaves no idle cores."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 def load(silver: DataFrame, store: StarStore, order: Sequence[str], **sizes) -> None:
-    """Append what is new, table by table: dimensions, then facts, then the bridge.
+    """Append what is new: the dimensions first, then facts and bridge.
 
     Each table is written by one job that either appends all its rows or none, and a rerun
-    after a failure inserts just what is missing.
+    after a failure inserts just what is missing.  ``silver`` should be a stored table: every
+    table of the star reads the columns it needs from it.
     """
     rows = load_input(silver, order)
 
-    store.append(
-        "DIM_COMPANY",
-        new_dimension_rows(
-            companies(rows), store.read("DIM_COMPANY"), ["COMPANY_NAME"], "COMPANY_KEY"
-        ),
-    )
-    store.append(
-        "DIM_LOCATION",
-        new_dimension_rows(
-            locations(rows),
-            store.read("DIM_LOCATION"),
-            ["CITY", "LOCATION"],
-            "LOCATION_KEY",
-            null_safe=True,
-        ),
+    def dimension(name: str, batch: DataFrame, natural: list[str], key: str, null_safe=False):
+        existing = store.read(name)
+        store.append(name, new_dimension_rows(batch, existing, natural, key, null_safe))
+
+    _side_by_side(
+        [
+            lambda: store.append("DIM_JOB", new_jobs(rows, store.read("DIM_JOB"), order)),
+            lambda: dimension("DIM_COMPANY", companies(rows), ["COMPANY_NAME"], "COMPANY_KEY"),
+            lambda: dimension(
+                "DIM_LOCATION", locations(rows), ["CITY", "LOCATION"], "LOCATION_KEY", True
+            ),
+            lambda: dimension("DIM_SKILL", skills(rows), ["SKILL_NAME"], "SKILL_KEY"),
+            lambda: store.append(
+                "DIM_DATE", keys.absent(calendar(rows), store.read("DIM_DATE"), ["DATE_KEY"])
+            ),
+        ]
     )
-    store.append("DIM_DATE", keys.absent(calendar(rows), store.read("DIM_DATE"), ["DATE_KEY"]))
-    store.append("DIM_JOB", new_jobs(rows, store.read("DIM_JOB"), order))
-    store.append(
-        "DIM_SKILL",
-        new_dimension_rows(skills(rows), store.read("DIM_SKILL"), ["SKILL_NAME"], "SKILL_KEY"),
+    star = store.tables()
+    _side_by_side(
+        [
+            lambda: store.append("FACT_JOBS", new_facts(rows, star, order, **sizes)),
+            lambda: store.append("BRIDGE_JOB_SKILL", new_bridge_rows(rows, star, **sizes)),
+        ]
     )
-    store.append("FACT_JOBS", new_facts(rows, store.tables(), order, **sizes))
-    store.append("BRIDGE_JOB_SKILL", new_bridge_rows(rows, store.tables(), **sizes))
 
 
 def load_with_summary(silver: DataFrame, store: StarStore, order: Sequence[str], **sizes) -> DataFrame:

@@ -52,6 +52,25 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver(_raw(spark, sf_dir), ORDER, keep=ORDER)
 
 
+_STORED: dict[tuple[str, ...], DataFrame | tables.StarStore] = {}
+
+
+def _place(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, ...]:
+    return (spark.sparkContext.applicationId, tables.shared_folder(spark), sf_dir, what)
+
+
+def _silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned postings as a written table, which is what the star and the reports read.
+
+    Written once per application and folder, like the stage it is.  A filter on a derived
+    column then reaches the scan instead of repeating the derivation.
+    """
+    place = _place(spark, sf_dir, "silver")
+    if place not in _STORED:
+        _STORED[place] = tables.stage(_silver(spark, sf_dir), "silver")
+    return _STORED[place]
+
+
 def _before_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned rows up to, but not including, the text-derived attributes."""
     return (
@@ -303,7 +322,7 @@ def silver_full(spark, sf_dir):
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.load_input(_silver(spark, sf_dir), ORDER)
+    return gold.load_input(_silver_table(spark, sf_dir), ORDER)
 
 
 @query
@@ -339,9 +358,7 @@ def dim_skill(spark, sf_dir):
 @query
 def surrogate_keys(spark, sf_dir):
     """Dense keys for the companies and places of the postings, in hash order."""
-    rows = tables.stage(
-        _rows(spark, sf_dir).select("COMPANY", "CITY", "LOCATION"), "natural-keys"
-    )
+    rows = _rows(spark, sf_dir)
     companies = keys.number_keys(gold.companies(rows), ["COMPANY_NAME"], "KEY")
     places = keys.number_keys(gold.locations(rows), ["CITY", "LOCATION"], "KEY")
     return companies.select(
@@ -363,18 +380,15 @@ def _new_store(spark: SparkSession) -> tables.StarStore:
     return tables.StarStore(spark, tables.run_folder(spark, "star"), gold.SCHEMAS)
 
 
-_LOADED: dict[tuple[str, str, str], tables.StarStore] = {}
-
-
 def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star of all postings.  Loaded once per application and folder; the reads over it
+    """The star of all postings, loaded once per application and folder; the reads over it
     are queries on those tables, as for any warehouse."""
-    place = (spark.sparkContext.applicationId, tables.shared_folder(spark), sf_dir)
-    if place not in _LOADED:
+    place = _place(spark, sf_dir, "star")
+    if place not in _STORED:
         store = _new_store(spark)
-        gold.load(tables.stage(_silver(spark, sf_dir), "silver"), store, ORDER)
-        _LOADED[place] = store
-    return _LOADED[place].tables()
+        gold.load(_silver_table(spark, sf_dir), store, ORDER)
+        _STORED[place] = store
+    return _STORED[place].tables()
 
 
 def _resolved_facts(star: dict[str, DataFrame]) -> DataFrame:
@@ -483,7 +497,7 @@ def skill_counts(spark, sf_dir):
 
 @query
 def null_report(spark, sf_dir):
-    df = _silver(spark, sf_dir).drop(*ORDER)
+    df = _silver_table(spark, sf_dir).drop(*ORDER)
     return quality.nulls(df).orderBy(F.desc("null_count"), "column_name")
 
 
@@ -500,14 +514,14 @@ def null_report_cleaning(spark, sf_dir):
 @query
 def distributions(spark, sf_dir):
     columns = ["experience_level", "is_remote", "has_salary"]
-    return quality.value_counts(_silver(spark, sf_dir), columns).orderBy(
+    return quality.value_counts(_silver_table(spark, sf_dir), columns).orderBy(
         "column_name", F.desc("n"), "value"
     )
 
 
 @query
 def dq_checks(spark, sf_dir):
-    df = _silver(spark, sf_dir)
+    df = _silver_table(spark, sf_dir)
     flags_ok = quality.boolean_checks(df, ["is_remote", "has_salary"]).select(
         "check_name",
         F.when(F.col("status") == "PASS", F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("findings"),
@@ -539,7 +553,7 @@ def whitespace_check(spark, sf_dir):
     """Before cleaning, where there is something to find, and after."""
     raw = silver.tokens_to_null(_raw(spark, sf_dir))
     before = quality.whitespace_checks(raw, rules.TEXT_COLUMNS)
-    after = quality.whitespace_checks(_silver(spark, sf_dir), rules.TEXT_COLUMNS)
+    after = quality.whitespace_checks(_silver_table(spark, sf_dir), rules.TEXT_COLUMNS)
     return before.withColumn("stage", F.lit("raw")).unionByName(
         after.withColumn("stage", F.lit("cleaned"))
     )
@@ -567,7 +581,7 @@ def recovered_counts(spark, sf_dir):
 def duplicates_report(spark, sf_dir):
     """Duplicates in the raw postings and those that remain after cleaning."""
     raw = dedup.count_duplicates(_raw(spark, sf_dir), rules.POSTING_KEY)
-    cleaned = dedup.count_duplicates(_silver(spark, sf_dir), rules.POSTING_KEY)
+    cleaned = dedup.count_duplicates(_silver_table(spark, sf_dir), rules.POSTING_KEY)
     return raw.withColumn("stage", F.lit("raw")).unionByName(
         cleaned.withColumn("stage", F.lit("cleaned"))
     )
@@ -575,11 +589,11 @@ def duplicates_report(spark, sf_dir):
 
 @query
 def silver_shape(spark, sf_dir):
-    return quality.shape(_silver(spark, sf_dir).drop(*ORDER))
+    return quality.shape(_silver_table(spark, sf_dir).drop(*ORDER))
 
 
 @query
 def first_rows(spark, sf_dir):
     """The first five cleaned postings, in row order."""
-    rows = gold.load_input(_silver(spark, sf_dir), ORDER)
+    rows = gold.load_input(_silver_table(spark, sf_dir), ORDER)
     return rows.orderBy("INGEST_SEQ").limit(5).select("JOB_ID", "JOB_TITLE", "COMPANY")
