@@ -126,19 +126,21 @@ def merge(
     newer: DataFrame,
     order: Sequence[str] = FILE_ORDER,
     history_is_unique: bool = False,
+    newer_is_unique: bool = False,
 ) -> DataFrame:
     """History and newer rows, the newest row of each identity kept.
 
     ``order`` must place all newer rows after the history.  Where the history is itself the
     result of a merge (``history_is_unique``), it is only filtered by the newer identities:
-    a small batch then costs no shuffle of the history.
+    a small batch then costs no shuffle of the history.  ``newer_is_unique`` says the same of
+    the newer rows; a :func:`batch` is, since its identity is the coarser one.
     """
     key = dedup.history_identity()
     if not history_is_unique:
         both = history.unionByName(newer, allowMissingColumns=True)
         return dedup.keep_last(both, key, order)
 
-    latest = dedup.keep_last(newer, key, order)
+    latest = newer if newer_is_unique else dedup.keep_last(newer, key, order)
     named = {f"__k_{name}": column for name, column in key.items()}
     replaced = latest.select(*[column.alias(name) for name, column in named.items()])
     kept = keys.absent(
@@ -167,6 +169,14 @@ def backfill(
     return merge(older, align(existing, columns), order)
 
 
-def row_order(order: Sequence[str] = FILE_ORDER) -> list[Column]:
-    """Order of the merged history: rows with a link, then rows without, each by ``order``."""
-    return [dedup.linked().desc(), *[F.col(c).asc() for c in order]]
+# Row order of a stored history: rows with a link, then rows without, each as they came.
+ROW_ORDER = ["ingest_unlinked", *FILE_ORDER]
+
+
+def with_row_order(history: DataFrame) -> DataFrame:
+    """The history in its stored columns, with the first part of :data:`ROW_ORDER` filled in.
+
+    It has to be kept, since cleaning may blank a link.
+    """
+    marked = history.withColumn("ingest_unlinked", (~dedup.linked()).cast("int"))
+    return marked.select(*ROW_ORDER, *rules.BRONZE_COLUMNS)
