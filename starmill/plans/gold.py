@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill import rules
@@ -212,10 +212,10 @@ def candidates(rows: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def _side_by_side(steps: Sequence[Callable[[], None]]) -> None:
+def _side_by_side(spark: SparkSession, steps: Sequence[Callable[[], None]]) -> None:
     """Run independent writes at the same time, so a long tail of one leaves no idle cores."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
     for step in running:
         step.result()
 
@@ -234,6 +234,7 @@ def load(silver: DataFrame, store: StarStore, order: Sequence[str], **sizes) ->
         store.append(name, new_dimension_rows(batch, existing, natural, key, null_safe))
 
     _side_by_side(
+        store.spark,
         [
             lambda: store.append("DIM_JOB", new_jobs(rows, store.read("DIM_JOB"), order)),
             lambda: dimension("DIM_COMPANY", companies(rows), ["COMPANY_NAME"], "COMPANY_KEY"),
@@ -248,6 +249,7 @@ def load(silver: DataFrame, store: StarStore, order: Sequence[str], **sizes) ->
     )
     star = store.tables()
     _side_by_side(
+        store.spark,
         [
             lambda: store.append("FACT_JOBS", new_facts(rows, star, order, **sizes)),
             lambda: store.append("BRIDGE_JOB_SKILL", new_bridge_rows(rows, star, **sizes)),
