@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.sources.tables import spread
+
 # One row per order.  A part is picked by the order number, over the whole part table.
 BASE_SQL = """
 SELECT o.k, o.o_orderdate, c_name, n_name, p_name, p_brand
@@ -83,6 +85,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _from_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     tables = {n: read(spark, sf_dir, n) for n in ("orders", "customer", "nation", "part")}
+    columns = ["o_orderkey", "o_custkey", "o_orderdate"]
+    tables["orders"] = spread(tables["orders"].select(*columns))
     for name, df in tables.items():
         sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}").replace(
             f"JOIN {name}", f"JOIN {{{name}}}"

@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -169,10 +169,33 @@ def decode_entities(c: Column) -> Column:
     return F.coalesce(_entity_decoder()(F.when(c.contains("&"), c)), c)
 
 
-def html_to_text(c: Column) -> Column:
-    """Entities first, so escaped markup goes too; then tags to spaces; NULL when blank."""
-    bare = F.regexp_replace(decode_entities(c), "<[^>]+>", " ")
-    return null_if_empty(squeeze(bare))
+def drop_tags(c: Column) -> Column:
+    """Each tag to a space.
+
+    What follows the last ``>`` holds no whole tag and is left out of the search, so a text
+    full of stray ``<`` is still read once, not once per ``<``.
+    """
+    rest = F.substring_index(c, ">", -1)
+    tagged = F.left(c, F.length(c) - F.length(rest))
+    return F.concat(F.regexp_replace(tagged, "<[^>]++>", " "), rest)
+
+
+def html_to_text(decoded: Column) -> Column:
+    """Text of a page whose entities are decoded: tags dropped, blanks squeezed; NULL when
+    nothing is left.  Entities go first, so escaped markup is dropped too."""
+    return null_if_empty(squeeze(drop_tags(decoded)))
+
+
+def with_plain_text(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
+    """Add ``out``, the HTML in ``column`` as plain text, in two steps: each is used more
+    than once by what follows it."""
+    out = out or column
+    decoded = "__decoded"
+    return (
+        df.withColumn(decoded, decode_entities(F.col(column)))
+        .withColumn(out, html_to_text(F.col(decoded)))
+        .drop(decoded)
+    )
 
 
 # --- dictionary search -----------------------------------------------------------------
@@ -223,6 +246,8 @@ def _search_patterns(terms: Sequence[str], strict: bool) -> list[str]:
             left, right = _edges(term, strict)
             by_left.setdefault(left, {}).setdefault(right, {}).setdefault(term[0], []).append(term)
         for left, by_right in by_left.items():
+            # One look at the next character spares most places the lookbehind.
+            firsts = "".join(sorted({quote(t) for ts in by_right.values() for t in ts}))
             ends = []
             for right, by_first in by_right.items():
                 heads = [
@@ -230,7 +255,7 @@ def _search_patterns(terms: Sequence[str], strict: bool) -> list[str]:
                     for first, group in by_first.items()
                 ]
                 ends.append(f"(?:{'|'.join(heads)}){right}")
-            patterns.append(f"{left}(?=({'|'.join(ends)}))")
+            patterns.append(f"(?=[{firsts}]){left}(?=({'|'.join(ends)}))")
     return patterns
 
 

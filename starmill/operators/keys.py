@@ -139,12 +139,15 @@ def lookup(
     row_id: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
+    counted_in: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Add the dimension's other columns to ``rows``; ``on`` is unique in ``dimension``.
 
     ``row_id`` names columns that tell rows of one key apart; they spread frequent keys.
+    ``counted_in`` is a table in which frequent keys show just as well and that is cheaper to
+    count than ``rows``: what is frequent in ``rows`` must be at least as frequent there.
     """
     payload = [c for c in dimension.columns if c not in on]
     dim = dimension.select(*[F.col(c).alias(f"__d_{c}") for c in on], *payload)
@@ -160,7 +163,7 @@ def lookup(
     if measured_bytes(dimension) <= broadcast_bytes:
         return rows.join(F.broadcast(dim), matches(), how).drop(*extra)
 
-    frequent = frequent_keys(rows, on, rows_per_split)
+    frequent = frequent_keys(rows if counted_in is None else counted_in, on, rows_per_split)
     spread = _with_splits(rows, frequent, on).withColumn(
         "__salt",
         F.coalesce(F.pmod(F.xxhash64(*row_id), F.col("__splits")), F.lit(0)).cast("int"),

@@ -68,6 +68,17 @@ def try_cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     )
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating-point columns to NULL, the one way a value is missing."""
+    return df.withColumns(
+        {
+            name: F.when(~F.isnan(name), F.col(name))
+            for name, dtype in df.dtypes
+            if dtype in ("float", "double")
+        }
+    )
+
+
 def schema_rows(df: DataFrame) -> list[tuple[str, str]]:
     """Column names and types."""
     return df.dtypes

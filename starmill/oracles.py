@@ -212,40 +212,41 @@ def columns(exprs: dict[str, str], names: list[str]) -> str:
 
 
 RAW_NAMES = ["ingest_seq", *rules.BRONZE_COLUMNS]
+MERGED_NAMES = ["ingest_unlinked", "ingest_run", *RAW_NAMES]
 
 
-def tokens_step(source: str) -> str:
-    return f"SELECT {columns({c: token_null(c) for c in rules.BRONZE_COLUMNS}, RAW_NAMES)} FROM {source}"
+def tokens_step(source: str, names: list[str] = RAW_NAMES) -> str:
+    exprs = {c: token_null(c) for c in rules.BRONZE_COLUMNS}
+    return f"SELECT {columns(exprs, names)} FROM {source}"
 
 
-def squeeze_step(source: str) -> str:
-    return f"SELECT {columns({c: squeeze(c) for c in rules.TEXT_COLUMNS}, RAW_NAMES)} FROM {source}"
+def squeeze_step(source: str, names: list[str] = RAW_NAMES) -> str:
+    return f"SELECT {columns({c: squeeze(c) for c in rules.TEXT_COLUMNS}, names)} FROM {source}"
 
 
-def values_step(source: str) -> str:
+def values_step(source: str, names: list[str] = RAW_NAMES) -> str:
     exprs = {
         "employment_type": employment("employment_type"),
         "company": company("company"),
         "skills": clean_list("skills"),
         "description": html_text("description"),
     }
-    return f"SELECT {columns(exprs, RAW_NAMES)} FROM {source}"
+    return f"SELECT {columns(exprs, names)} FROM {source}"
 
 
-def dedup_step(source: str) -> str:
+def dedup_step(source: str, order: str = "ingest_seq") -> str:
     return (
         f"SELECT * FROM {source} QUALIFY row_number() OVER "
-        "(PARTITION BY job_title, company, location ORDER BY ingest_seq) = 1"
+        f"(PARTITION BY job_title, company, location ORDER BY {order}) = 1"
     )
 
 
-def silver_steps(source: str, p: str) -> str:
+def silver_steps(source: str, p: str, names: list[str] = RAW_NAMES) -> str:
     """CTEs from ``source`` to ``{p}silver``; ``{p}values`` holds the rows before the rules."""
-    typed = columns(
-        {"fetched_at": fetched("fetched_at")}, RAW_NAMES
-    )
+    typed = columns({"fetched_at": fetched("fetched_at")}, names)
+    order = ", ".join(n for n in names if n.startswith("ingest_"))
     ruled = (
-        "SELECT ingest_seq, source, job_title, company, "
+        f"SELECT {order}, source, job_title, company, "
         f"{city('city', 'location', 'job_title', 'description')} AS city, location, "
         "employment_type, skills, "
         f"{level('experience_level', 'job_title', 'description')} AS experience_level, "
@@ -260,9 +261,10 @@ def silver_steps(source: str, p: str) -> str:
         f"CAST(day(posted_at) AS BIGINT) AS posted_day FROM {p}ruled"
     )
     return (
-        f"{p}unique AS ({dedup_step(source)}), {p}tokens AS ({tokens_step(p + 'unique')}), "
-        f"{p}squeezed AS ({squeeze_step(p + 'tokens')}), "
-        f"{p}values AS ({values_step(p + 'squeezed')}), "
+        f"{p}unique AS ({dedup_step(source, order)}), "
+        f"{p}tokens AS ({tokens_step(p + 'unique', names)}), "
+        f"{p}squeezed AS ({squeeze_step(p + 'tokens', names)}), "
+        f"{p}values AS ({values_step(p + 'squeezed', names)}), "
         f"{p}typed AS (SELECT {typed} FROM {p}values), {p}ruled AS ({ruled}), "
         f"{p}silver AS ({parts})"
     )
@@ -477,11 +479,18 @@ ORACLES["flags"] = with_raw("SELECT ingest_seq, is_remote, has_salary FROM x_sil
 ORACLES["remote_flag_conversations"] = (
     f"SELECT conv_id, turn, {remote('role', 'text')} AS is_remote FROM conversations"
 )
-ORACLES["silver_full"] = with_raw(
+_SHOWN_SILVER = (
     "SELECT * REPLACE ("
     f"{shown('posted_at')} AS posted_at, {shown('fetched_at')} AS fetched_at, "
-    f"{shown_date('posted_date')} AS posted_date) FROM x_silver",
-    SILVER,
+    f"{shown_date('posted_date')} AS posted_date) FROM x_silver"
+)
+_MERGED = (
+    f"SELECT *, CAST(NOT {filled('apply_link')} AS INTEGER) AS ingest_unlinked "
+    f"FROM ({ORACLES['bronze_build']})"
+)
+ORACLES["silver_full"] = with_raw(_SHOWN_SILVER, SILVER)
+ORACLES["silver_from_landing"] = (
+    f"WITH merged AS ({_MERGED}), {silver_steps('merged', 'x_', MERGED_NAMES)} {_SHOWN_SILVER}"
 )
 
 # --- star ------------------------------------------------------------------------------

@@ -162,7 +162,12 @@ def new_facts(rows: DataFrame, star: dict[str, DataFrame], order: Sequence[str],
     )
     fresh = fact_rows(rows, order).join(open_jobs, "JOB_ID")
     with_company = keys.lookup(
-        fresh, star["DIM_COMPANY"], ["COMPANY_NAME"], row_id=["JOB_ID"], **sizes
+        fresh,
+        star["DIM_COMPANY"],
+        ["COMPANY_NAME"],
+        row_id=["JOB_ID"],
+        counted_in=rows.select(T.strip(F.col("COMPANY")).alias("COMPANY_NAME")),
+        **sizes,
     )
     with_place = keys.lookup(
         with_company,
@@ -170,6 +175,7 @@ def new_facts(rows: DataFrame, star: dict[str, DataFrame], order: Sequence[str],
         ["CITY", "LOCATION"],
         row_id=["JOB_ID"],
         null_safe=True,
+        counted_in=rows.select("CITY", "LOCATION"),
         **sizes,
     )
     return with_place.select(
@@ -179,9 +185,15 @@ def new_facts(rows: DataFrame, star: dict[str, DataFrame], order: Sequence[str],
 
 def new_bridge_rows(rows: DataFrame, star: dict[str, DataFrame], **sizes) -> DataFrame:
     """Pairs of job and skill not linked yet; repeats go before the lookups."""
-    pairs = skill_mentions(rows).distinct()
+    mentions = skill_mentions(rows)
     with_skill = keys.lookup(
-        pairs, star["DIM_SKILL"], ["SKILL_NAME"], row_id=["JOB_ID"], how="inner", **sizes
+        mentions.distinct(),
+        star["DIM_SKILL"],
+        ["SKILL_NAME"],
+        row_id=["JOB_ID"],
+        how="inner",
+        counted_in=mentions.select("SKILL_NAME"),
+        **sizes,
     )
     with_job = keys.lookup(
         with_skill,
@@ -189,6 +201,7 @@ def new_bridge_rows(rows: DataFrame, star: dict[str, DataFrame], **sizes) -> Dat
         ["JOB_ID"],
         row_id=["SKILL_KEY"],
         how="inner",
+        counted_in=mentions.select("JOB_ID"),
         **sizes,
     )
     return keys.absent(

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill import rules
+from starmill.operators import dedup
 from starmill.plans import bronze, gold, silver
 from starmill.session import configure
 from starmill.sources.landing import postings
@@ -99,8 +101,13 @@ def backfill(lake: Lake, historical: DataFrame, run: int, row_number: str = "id"
     )
     existing = None if last is None else lake.read("bronze", last)
     merged = bronze.with_row_order(bronze.backfill(older, existing))
-    written = Observation("backfill")
-    counted = merged.observe(written, F.count(F.lit(1)).alias("rows"))
-    stored = lake.write("bronze", run, counted)
-    return require_count(stored, written.get["rows"], "the backfilled history")
-
+    stored = lake.write("bronze", run, merged)
+
+    # Counted from the inputs, not from the write: a task that ran twice counts once here.
+    inputs = older.select(*rules.BRONZE_COLUMNS)
+    if existing is not None:
+        inputs = inputs.unionByName(existing.select(*rules.BRONZE_COLUMNS))
+    identity = dedup.history_identity()
+    named = inputs.select(*[column.alias(name) for name, column in identity.items()])
+    expected = dedup.count_duplicates(named, list(identity)).first()["distinct_keys"]
+    return require_count(stored, expected, "the backfilled history")

@@ -49,7 +49,7 @@ def standard_values(df: DataFrame) -> DataFrame:
 
 
 def plain_description(df: DataFrame) -> DataFrame:
-    return df.withColumn("description", T.html_to_text(F.col("description")))
+    return T.with_plain_text(df, "description")
 
 
 def times(df: DataFrame) -> DataFrame:

@@ -93,7 +93,7 @@ def normalize_payload(spark, sf_dir):
 
 @query
 def extract_skills_documents(spark, sf_dir):
-    docs = fixtures.read(spark, sf_dir, "documents")
+    docs = tables.spread(fixtures.read(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", T.terms_text(F.col("text"), rules.SKILL_TERMS).alias("skills"))
 
 
@@ -229,8 +229,8 @@ def skill_list(spark, sf_dir):
 
 @query
 def html_text_pages(spark, sf_dir):
-    pages = fixtures.read(spark, sf_dir, "pages")
-    return pages.select("page_id", "url", T.html_to_text(F.col("html")).alias("page_text"))
+    pages = tables.spread(fixtures.read(spark, sf_dir, "pages"))
+    return T.with_plain_text(pages, "html", "page_text").drop("html")
 
 
 @query
@@ -284,7 +284,7 @@ def experience_level(spark, sf_dir):
 @query
 def experience_years_documents(spark, sf_dir):
     """Years of experience and the level they mean, over whole documents."""
-    docs = fixtures.read(spark, sf_dir, "documents")
+    docs = tables.spread(fixtures.read(spark, sf_dir, "documents").select("doc_id", "text"))
     years = docs.select("doc_id", classify.years_asked(F.col("text")).alias("years"))
     return years.select(
         "doc_id",
@@ -318,6 +318,21 @@ def silver_full(spark, sf_dir):
     return _shown(_silver(spark, sf_dir))
 
 
+@query
+def silver_from_landing(spark, sf_dir):
+    """Landing payload to cleaned rows: the cleaning's "first" is the merged history's order."""
+    history = _raw(spark, sf_dir).withColumn("ingest_run", F.lit(1).cast("bigint"))
+    rows = landing.postings(fixtures.landing(spark, sf_dir))
+    newer = bronze.batch(rows, fixtures.FETCHED_AT, ORDER).withColumn(
+        "ingest_run", F.lit(2).cast("bigint")
+    )
+    stored = ["ingest_unlinked", *RUN_ORDER]
+    merged = bronze.merge(history, newer, RUN_ORDER).withColumn(
+        "ingest_unlinked", (~dedup.linked()).cast("int")
+    )
+    return _shown(silver.silver(merged, stored, keep=stored))
+
+
 # --- star ------------------------------------------------------------------------------
 
 

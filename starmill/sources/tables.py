@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starmill.operators.schema import nan_to_null
+
 ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 
 
@@ -31,6 +33,16 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | str, arr
     return spark.read.schema(schema).option("multiLine", array_file).json(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the session has cores, dealt out to all of them.
+
+    For small inputs ahead of heavy per-row work.  A scan with enough splits, as any large
+    one has, is returned as it is and costs no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
@@ -70,9 +82,10 @@ def require_count(df: DataFrame, expected: int, what: str) -> DataFrame:
 
 
 def write_records(df: DataFrame, path: str) -> None:
-    """JSON lines in UTF-8, NULL fields kept, timestamps in ISO form."""
+    """JSON lines in UTF-8, NULL (and NaN) as null fields, timestamps in ISO form."""
     (
-        df.write.mode("overwrite")
+        nan_to_null(df)
+        .write.mode("overwrite")
         .option("ignoreNullFields", False)
         .option("timestampFormat", ISO_TIMESTAMP)
         .option("dateFormat", "yyyy-MM-dd")

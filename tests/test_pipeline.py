@@ -251,6 +251,14 @@ def test_records_round_trip(spark, tmp_path, cleaned):
     assert sorted(map(repr, retyped.collect())) == sorted(map(repr, cleaned.collect()))
 
 
+def test_nan_is_written_as_null(spark, tmp_path):
+    path = str(tmp_path / "nan")
+    tables.write_records(spark.createDataFrame([(float("nan"), "x"), (1.5, None)], "d double, s string"), path)
+    assert sorted(r.value for r in spark.read.text(path).collect()) == [
+        '{"d":1.5,"s":null}', '{"d":null,"s":"x"}',
+    ]
+
+
 def test_json_array_file_with_nested_records(spark, tmp_path):
     from starmill.operators.schema import flatten_structs
 

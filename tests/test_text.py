@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -16,6 +17,11 @@ def apply(spark, build, values):
     return [r.o for r in rows]
 
 
+def plain(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    return [r.v for r in T.with_plain_text(df, "v").orderBy("i").collect()]
+
+
 def test_null_tokens_are_whole_untrimmed_cells(spark):
     cells = ["N/A", " N/A ", "", "   ", "n/a", "None", None]
     got = apply(spark, lambda c: T.squeeze(T.null_if_token(c, rules.NULL_TOKENS)), cells)
@@ -39,12 +45,25 @@ def test_title_case(spark):
 
 def test_html(spark):
     cells = ["&lt;b&gt;10+ years&lt;/b&gt;", " <br/> ", "R&D", "a&nbsp;&eacute;&#x41;", None, "a < b"]
-    assert apply(spark, T.html_to_text, cells) == ["10+ years", None, "R&D", "a éA", None, "a < b"]
+    assert plain(spark, cells) == ["10+ years", None, "R&D", "a éA", None, "a < b"]
 
 
 def test_html_of_a_long_text_is_whole(spark):
     cell = "<p>x &amp; y</p>" * 20_000
-    assert apply(spark, T.html_to_text, [cell]) == [" ".join(["x & y"] * 20_000)]
+    assert plain(spark, [cell]) == [" ".join(["x & y"] * 20_000)]
+
+
+def test_tags_follow_the_pattern_also_when_broken(spark):
+    cells = ["a<b<c>d>e<f", "<>x<>", "< >y", "<<<<", ">>", "a<b\n>c", "x<y"]
+    got = apply(spark, T.drop_tags, cells)
+    assert got == [re.sub("<[^>]+>", " ", c) for c in cells]
+
+
+def test_stray_brackets_do_not_cost_a_scan_each(spark):
+    cell = "<" * 300_000
+    start = time.monotonic()
+    assert apply(spark, T.drop_tags, [cell]) == [cell]
+    assert time.monotonic() - start < 20
 
 
 def test_lists(spark):
