@@ -2,7 +2,8 @@
 
 Each entry runs to the end with all its columns: builds and loads are written, reads are sent
 to a sink that takes every row.  The star is loaded before the reads over it, and its load is
-an entry of its own.
+an entry of its own.  Everything runs twice, from the source files each time: ``queries`` and
+``value`` are of the second pass, ``first_pass`` is of a session that compiles as it goes.
 """
 
 from __future__ import annotations
@@ -34,10 +35,11 @@ READS = [
 ]
 
 
-def main() -> None:
-    spark = local_session(CPUS, memory=os.environ.get("BENCH_MEMORY", "16g"), app="bench")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+def drain(df) -> None:
+    df.write.format("noop").mode("overwrite").save()
+
+
+def one_pass(spark) -> dict[str, float]:
     times: dict[str, float] = {}
 
     def timed(name, work):
@@ -46,12 +48,6 @@ def main() -> None:
         times[name] = round(time.perf_counter() - start, 3)
         return result
 
-    def drain(df):
-        df.write.format("noop").mode("overwrite").save()
-
-    # The first job pays for starting the session's threads, not for the work.
-    drain(fixtures.read(spark, SF_DIR, "region"))
-
     for name in READS:
         timed(name, lambda name=name: drain(QUERIES[name](spark, SF_DIR)))
 
@@ -73,16 +69,27 @@ def main() -> None:
         ("q5_levels_by_employment", analytics.levels_by_employment),
     ]:
         timed(name, lambda read=read: drain(read(star)))
+    return times
+
 
+def main() -> None:
+    spark = local_session(CPUS, memory=os.environ.get("BENCH_MEMORY", "16g"), app="bench")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
+    # The first job pays for starting the session's threads, not for the work.
+    drain(fixtures.read(spark, SF_DIR, "region"))
+    first = one_pass(spark)
+    second = one_pass(spark)
     print(
         json.dumps(
             {
                 "metric": "total_time",
-                "value": round(sum(times.values()), 3),
+                "value": round(sum(second.values()), 3),
                 "unit": "sec",
-                "queries": times,
+                "queries": second,
                 "sf": os.path.basename(SF_DIR.rstrip("/")),
                 "cpus": CPUS,
+                "first_pass": first,
             }
         )
     )

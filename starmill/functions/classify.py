@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill import rules
@@ -17,15 +19,16 @@ from starmill.functions.text import (
 )
 
 # --- fixed values: title words -> level, in the order they are tried -------------------
+# The plain words in front are what each pattern needs; looking for them costs no regex.
 TITLE_LEVELS = [
-    (words("intern", "internship"), "Intern"),
-    (words(f"senior{WS}+lead"), "Senior Lead"),
-    (words("principal"), "Principal"),
-    (words("senior", "sr"), "Senior"),
-    (words("lead", "team lead", "leader"), "Lead"),
-    (words("manager", "manger"), "Manager"),
-    (words("director"), "Director"),
-    (words("junior", "jr", "entry[- ]level"), "Junior"),
+    (["intern"], words("intern", "internship"), "Intern"),
+    (["senior"], words(f"senior{WS}+lead"), "Senior Lead"),
+    (["principal"], words("principal"), "Principal"),
+    (["senior", "sr"], words("senior", "sr"), "Senior"),
+    (["lead"], words("lead", "team lead", "leader"), "Lead"),
+    (["manager", "manger"], words("manager", "manger"), "Manager"),
+    (["director"], words("director"), "Director"),
+    (["junior", "jr", "entry"], words("junior", "jr", "entry[- ]level"), "Junior"),
 ]
 
 # --- fixed values: years of experience in a description, in the order they are tried ---
@@ -40,6 +43,7 @@ YEARS_PATTERNS = [
 # --- fixed values: upper bounds of years -> level, the last for more -------------------
 YEARS_LEVELS = [(2, "Junior"), (5, "Mid Level")]
 YEARS_ABOVE = "Senior"
+_MOST_YEARS = 1_000
 
 REMOTE = words("remote")
 
@@ -49,24 +53,52 @@ def known_level(c: Column) -> Column:
     return F.when(c.isin(*rules.LEVELS), c)
 
 
-def level_from_title(title: Column) -> Column:
-    low = F.lower(or_blank(title))
-    return F.coalesce(*[F.when(low.rlike(p), F.lit(level)) for p, level in TITLE_LEVELS])
+def _any_of(text: Column, needles: list[str]) -> Column:
+    return reduce(Column.__or__, [text.contains(n) for n in needles])
+
+
+def with_level(df: DataFrame, level: str, title: str, description: str) -> DataFrame:
+    """Keep a known ``level``, else derive it: title first, then years in the description.
+
+    The title is searched only where the level is unknown, and the description only where
+    the title told nothing either.  Each step is a column of its own: no text is lowered
+    twice, and the generated code stays in pieces small enough to be compiled.
+    """
+    low_title, low_text, digits = "__title", "__text", "__digits"
+    known = known_level(F.col(level))
+    rows = df.withColumns(
+        {level: known, low_title: F.when(known.isNull(), F.lower(or_blank(F.col(title))))}
+    )
+    named = [
+        F.when(_any_of(F.col(low_title), needles) & F.col(low_title).rlike(p), F.lit(name))
+        for needles, p, name in TITLE_LEVELS
+    ]
+    rows = rows.withColumn(level, F.coalesce(F.col(level), *named))
+    rows = rows.withColumn(
+        low_text, F.when(F.col(level).isNull(), F.lower(or_blank(F.col(description))))
+    )
+    rows = rows.withColumn(digits, years_digits(F.col(low_text)))
+    years = whole_number(F.col(digits), _MOST_YEARS)
+    return rows.withColumn(level, F.coalesce(F.col(level), level_from_years(years))).drop(
+        low_title, low_text, digits
+    )
+
+
+def years_digits(low_text: Column) -> Column:
+    """The years of experience named in lower-case text, as written; the first pattern that
+    occurs decides."""
+    found = [F.nullif(F.regexp_extract(low_text, p, 1), F.lit("")) for p in YEARS_PATTERNS]
+    # All patterns need this word.
+    return F.when(low_text.contains("year"), F.coalesce(*found))
 
 
 def years_asked(description: Column) -> Column:
-    """Years of experience named in the text; the first pattern that occurs decides."""
-    low = F.lower(or_blank(description))
-    found = [F.nullif(F.regexp_extract(low, p, 1), F.lit("")) for p in YEARS_PATTERNS]
-    # All patterns need this word, and looking for it alone costs no regex.
-    return whole_number(F.when(low.contains("year"), F.coalesce(*found)), 1_000)
+    return whole_number(years_digits(F.lower(or_blank(description))), _MOST_YEARS)
 
 
 def level_from_years(years: Column) -> Column:
-    chain = F.when(years.isNull(), F.lit(None).cast("string"))
-    for most, level in YEARS_LEVELS:
-        chain = chain.when(years <= most, F.lit(level))
-    return chain.otherwise(F.lit(YEARS_ABOVE))
+    low = [F.when(years <= most, F.lit(level)) for most, level in YEARS_LEVELS]
+    return F.coalesce(*low, F.when(years.isNotNull(), F.lit(YEARS_ABOVE)))
 
 
 def recovered_city(city: Column, *texts: Column) -> Column:

@@ -28,12 +28,9 @@ def ascii_digits(c: Column) -> Column:
 
 def whole_number(digits: Column, cap: int) -> Column:
     """The value of a run of digits in any script, at most ``cap``; NULL for NULL."""
-    ascii_only = F.when(digits.rlike("^[0-9]+$"), digits).otherwise(ascii_digits(digits))
-    plain = F.ltrim(ascii_only, F.lit("0"))
-    capped = F.when(F.length(plain) > 15, F.lit(cap)).otherwise(
-        F.least(F.coalesce(plain.try_cast("bigint"), F.lit(0)), F.lit(cap))
-    )
-    return F.when(digits.isNotNull(), capped)
+    # 38 digits are the most a decimal takes; a longer run is above any cap.
+    value = F.coalesce(ascii_digits(digits).try_cast("decimal(38,0)"), F.lit(cap))
+    return F.when(digits.isNotNull(), F.least(value, F.lit(cap)).cast("bigint"))
 
 
 def fetched_time(c: Column) -> Column:

@@ -180,21 +180,18 @@ def drop_tags(c: Column) -> Column:
     return F.concat(F.regexp_replace(tagged, "<[^>]++>", " "), rest)
 
 
-def html_to_text(decoded: Column) -> Column:
-    """Text of a page whose entities are decoded: tags dropped, blanks squeezed; NULL when
-    nothing is left.  Entities go first, so escaped markup is dropped too."""
-    return null_if_empty(squeeze(drop_tags(decoded)))
-
-
 def with_plain_text(df: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    """Add ``out``, the HTML in ``column`` as plain text, in two steps: each is used more
-    than once by what follows it."""
-    out = out or column
-    decoded = "__decoded"
+    """Add ``out``, the HTML in ``column`` as plain text, NULL when nothing is left.
+
+    Entities go first, so escaped markup is dropped too.  The steps are columns of their own,
+    because each is used more than once by the next.
+    """
+    out, decoded, bare = out or column, "__decoded", "__bare"
     return (
         df.withColumn(decoded, decode_entities(F.col(column)))
-        .withColumn(out, html_to_text(F.col(decoded)))
-        .drop(decoded)
+        .withColumn(bare, drop_tags(F.col(decoded)))
+        .withColumn(out, null_if_empty(squeeze(F.col(bare))))
+        .drop(decoded, bare)
     )
 
 

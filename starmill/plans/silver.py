@@ -58,28 +58,7 @@ def times(df: DataFrame) -> DataFrame:
 
 
 def levels(df: DataFrame) -> DataFrame:
-    """Known levels kept, others derived: title first, then years named in the description.
-
-    The description is searched only where neither the column nor the title gave a level.
-    """
-    early = df.withColumn(
-        "experience_level",
-        F.coalesce(
-            classify.known_level(F.col("experience_level")),
-            classify.level_from_title(F.col("job_title")),
-        ),
-    )
-    years = F.when(
-        F.col("experience_level").isNull(), classify.years_asked(F.col("description"))
-    )
-    return (
-        early.withColumn("__years", years)
-        .withColumn(
-            "experience_level",
-            F.coalesce("experience_level", classify.level_from_years(F.col("__years"))),
-        )
-        .drop("__years")
-    )
+    return classify.with_level(df, "experience_level", "job_title", "description")
 
 
 def cities(df: DataFrame) -> DataFrame:

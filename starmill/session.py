@@ -17,6 +17,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Bad input becomes NULL through the try_ functions, never through silent casts.
     "spark.sql.ansi.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes; above that, plain projections whose
+    # code is split into small methods are faster than one large interpreted method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Bounds one Arrow batch when a batch of pages or descriptions goes to Python.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),

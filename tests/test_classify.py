@@ -4,12 +4,15 @@ from pyspark.sql import functions as F
 from starmill.functions import classify as C
 
 
-def level(spark, title, description):
-    df = spark.createDataFrame([(title, description)], "t string, d string")
-    chosen = F.coalesce(
-        C.level_from_title(F.col("t")), C.level_from_years(C.years_asked(F.col("d")))
-    )
-    return df.select(chosen.alias("o")).first().o
+def level(spark, title, description, current=None):
+    df = spark.createDataFrame([(title, description, current)], "t string, d string, l string")
+    return C.with_level(df, "l", "t", "d").first().l
+
+
+def test_known_levels_stay_and_others_are_derived(spark):
+    assert level(spark, "Intern", None, "Director") == "Director"
+    assert level(spark, "Intern", None, "director") == "Intern"
+    assert level(spark, "X", None, "24 months experience") is None
 
 
 @pytest.mark.parametrize(
