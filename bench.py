@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -74,8 +73,6 @@ def one_pass(spark) -> dict[str, float]:
 
 def main() -> None:
     spark = local_session(CPUS, memory=os.environ.get("BENCH_MEMORY", "16g"), app="bench")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
     # The first job pays for starting the session's threads, not for the work.
     drain(fixtures.read(spark, SF_DIR, "region"))
     first = one_pass(spark)

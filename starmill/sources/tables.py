@@ -113,6 +113,9 @@ def publish_table(df: DataFrame, name: str, fmt: str = "parquet", version: str |
 # --- stage results ---------------------------------------------------------------------
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints.
 
@@ -124,9 +127,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="starmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="starmill-")
+    return _OWN_FOLDERS[application]
 
 
 def run_folder(spark: SparkSession, label: str) -> str:

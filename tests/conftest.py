@@ -11,12 +11,10 @@ TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     from starmill import local_session
 
     session = local_session(8)
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("stages")))
     yield session
     session.stop()
 
