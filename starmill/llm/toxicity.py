@@ -24,7 +24,7 @@ from starmill.llm.common import stage, text_of
 
 ORDERS = (4, 5, 6)
 BITS = 22
-SAMPLE = 2000
+SAMPLE = 1500
 LEAST_TEXTS = 3
 MOST_FEATURES = 1 << 12
 FOLDS = 5
@@ -84,11 +84,13 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, share: float, rounds: int =
     counts = np.zeros((2, 1 << BITS), dtype=np.int32)
     for features, label in zip(texts, labels, strict=True):
         counts[int(label), features] += 1
-    ratio = np.log((counts[1] + 1.0) / (toxic.sum() + 2.0)) - np.log((counts[0] + 1.0) / ((~toxic).sum() + 2.0))
     frequent = np.flatnonzero(counts.sum(axis=0) >= LEAST_TEXTS)
-    expected = counts[:, frequent].sum(axis=0) * toxic.mean()
-    off = np.abs(counts[1, frequent] - expected) / np.sqrt(expected * (1 - toxic.mean()) + 1)
-    features = np.sort(frequent[np.argsort(-off, kind="stable")[:MOST_FEATURES]]).astype(np.uint32)
+    held = counts[:, frequent].astype(np.float64)
+    expected = held.sum(axis=0) * toxic.mean()
+    off = np.abs(held[1] - expected) / np.sqrt(expected * (1 - toxic.mean()) + 1)
+    chosen = np.sort(np.argsort(-off, kind="stable")[:MOST_FEATURES])
+    features = frequent[chosen].astype(np.uint32)
+    scale = np.log((held[1, chosen] + 1) / (toxic.sum() + 2)) - np.log((held[0, chosen] + 1) / ((~toxic).sum() + 2))
     if not len(features):
         return nothing
     place = np.full(1 << BITS, -1, dtype=np.int32)
@@ -96,7 +98,6 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, share: float, rounds: int =
     rows = [p[p >= 0] for p in (place[t] for t in texts)]
     columns = np.concatenate(rows)
     of_row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    scale = ratio[features]
     weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     weight /= weight.sum()
     weights = _logistic(columns, of_row, scale[columns], labels.astype(np.float64), weight, len(features), prior, rounds)
