@@ -27,6 +27,7 @@ LENGTH = 4096
 UNIT = 8
 END_ID = 2
 GAP = 2e-3
+ROUNDS = 12
 
 
 # --- tokens ----------------------------------------------------------------------------
@@ -94,8 +95,14 @@ def _best_pattern(values: np.ndarray, widths: np.ndarray, capacity: int) -> tupl
 
 
 def linear_program(widths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (rows) and how often each is used, fractions included: as few sequences as the bound allows."""
+    """Patterns (rows) and how often each is used, fractions included: as few sequences as the bound allows.
+
+    Demands get small seeded shares on top, else equal ratios could exchange the same patterns
+    for ever.  After ``ROUNDS`` rounds per class the patterns found so far stand; they cover the
+    demand at any time, so nothing but a little room hangs on it.
+    """
     n = len(widths)
+    demand = demand + np.random.default_rng(1).random(n) * 1e-2
     patterns = np.diag(capacity // widths).astype(np.int64)  # column j: pattern of basis place j
     inverse = np.diag(1.0 / np.diag(patterns))
     used = inverse @ demand
@@ -104,7 +111,8 @@ def linear_program(widths: np.ndarray, demand: np.ndarray, capacity: int, gap: f
         values = inverse.sum(axis=0)
         worth, pattern = _best_pattern(values, widths, capacity)
         # values / worth is dual feasible, so the optimum is at least the present total / worth.
-        if worth <= 1 + gap:
+        # Less than half a sequence to gain is nothing to gain either.
+        if worth <= 1 + max(gap, 0.5 / max(used.sum(), 1.0)) or rounds >= ROUNDS * n:
             break
         direction = inverse @ pattern
         rising = direction > 1e-9
