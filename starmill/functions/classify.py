@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill import rules
-from starmill.functions.dates import whole_number
+from starmill.functions.dates import number
 from starmill.functions.text import (
     NOT_AFTER_WORD,
     NOT_BEFORE_WORD,
@@ -43,7 +43,6 @@ YEARS_PATTERNS = [
 # --- fixed values: upper bounds of years -> level, the last for more -------------------
 YEARS_LEVELS = [(2, "Junior"), (5, "Mid Level")]
 YEARS_ABOVE = "Senior"
-_MOST_YEARS = 1_000
 
 REMOTE = words("remote")
 
@@ -78,7 +77,7 @@ def with_level(df: DataFrame, level: str, title: str, description: str) -> DataF
         low_text, F.when(F.col(level).isNull(), F.lower(or_blank(F.col(description))))
     )
     rows = rows.withColumn(digits, years_digits(F.col(low_text)))
-    years = whole_number(F.col(digits), _MOST_YEARS)
+    years = number(F.col(digits))
     return rows.withColumn(level, F.coalesce(F.col(level), level_from_years(years))).drop(
         low_title, low_text, digits
     )
@@ -93,7 +92,7 @@ def years_digits(low_text: Column) -> Column:
 
 
 def years_asked(description: Column) -> Column:
-    return whole_number(years_digits(F.lower(or_blank(description))), _MOST_YEARS)
+    return number(years_digits(F.lower(or_blank(description))))
 
 
 def level_from_years(years: Column) -> Column:

@@ -33,6 +33,11 @@ def whole_number(digits: Column, cap: int) -> Column:
     return F.when(digits.isNotNull(), F.least(value, F.lit(cap)).cast("bigint"))
 
 
+def number(digits: Column) -> Column:
+    """The value of a run of digits in any script; NULL for NULL and beyond 38 digits."""
+    return ascii_digits(digits).try_cast("decimal(38,0)")
+
+
 def fetched_time(c: Column) -> Column:
     return F.try_to_timestamp(c, F.lit(rules.FETCHED_AT_FORMAT))
 
@@ -44,6 +49,15 @@ _NUMERIC_SHAPES = [
     (r"\d{4}/\d{1,2}/\d{1,2}", ["yyyy/M/d"]),
     (r"\d{1,2}/\d{1,2}/\d{4}", ["M/d/yyyy", "d/M/yyyy"]),
     (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}", ["M/d/yyyy H:mm", "d/M/yyyy H:mm"]),
+    (r"\d{4}\.\d{1,2}\.\d{1,2}", ["yyyy.M.d"]),
+    (r"\d{1,2}-\d{1,2}-\d{4}", ["M-d-yyyy", "d-M-yyyy"]),
+    (r"\d{1,2}\.\d{1,2}\.\d{4}", ["M.d.yyyy", "d.M.yyyy"]),
+    (r"\d{1,2}/\d{1,2}/\d{2}", ["M/d/yy", "d/M/yy"]),
+    (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2} [AaPp][Mm]", ["yyyy-M-d h:mm a"]),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AaPp][Mm]", ["M/d/yyyy h:mm a", "d/M/yyyy h:mm a"]),
+    (r"\d{1,2} \p{L}{3} \d{4} \d{1,2}:\d{2}", ["d MMM yyyy H:mm"]),
+    (r"\d{1,2} \p{L}{4,9} \d{4} \d{1,2}:\d{2}", ["d MMMM yyyy H:mm"]),
+    (r"\d{1,2} \p{L}{3} \d{4} \d{1,2}:\d{2}:\d{2}", ["d MMM yyyy H:mm:ss"]),
     (r"\d{1,2} \p{L}{3} \d{4}", ["d MMM yyyy"]),
     (r"\d{1,2} \p{L}{4,9} \d{4}", ["d MMMM yyyy"]),
 ]
@@ -52,6 +66,8 @@ _NAMED_SHAPES = [
     (r"\p{L}{3} \d{1,2}, \d{4} \d{1,2}:\d{2}", ["MMM d, yyyy H:mm"]),
     (r"\p{L}{4,9} \d{1,2}, \d{4}", ["MMMM d, yyyy"]),
     (r"\p{L}{4,9} \d{1,2}, \d{4} \d{1,2}:\d{2}", ["MMMM d, yyyy H:mm"]),
+    (r"\p{L}{3} \d{1,2} \d{4}", ["MMM d yyyy"]),
+    (r"\p{L}{4,9} \d{1,2} \d{4}", ["MMMM d yyyy"]),
     (r"\p{L}{3} \d{4}", ["MMM yyyy"]),
     (r"\p{L}{4,9} \d{4}", ["MMMM yyyy"]),
 ]
@@ -76,6 +92,9 @@ def absolute_time(text: Column) -> Column:
     Only the listed spellings are read.  Spellings that depend on the wall clock ("today",
     "10:30") are NULL, so a rerun gives the same result.
     """
+    # The form of mail headers: a weekday before the date, a name for UTC behind the time.
+    mail = F.regexp_replace(text, r"^\p{L}{3}, (\d.*?)(?: (?:GMT|UTC|\+0000))?$", "$1")
+    text = F.when(text.rlike(r"^\p{L}{3}, \d"), mail).otherwise(text)
     # A date alone also ends in "-dd"; only text with a clock time can carry a zone.
     zoned = F.regexp_replace(text, r"([+-]\d{2}):?(\d{2})$", "$1:$2")
     iso = F.when(text.contains(":"), zoned).otherwise(text).try_cast("timestamp")

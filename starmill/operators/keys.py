@@ -16,8 +16,6 @@ from pyspark.sql.types import BinaryType, StringType
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Rows of one key that one task should handle before the key is spread.
 ROWS_PER_SPLIT = 1_000_000
-# Upper bound of the list of frequent keys; its size is limited by construction.
-FREQUENT_KEYS = 10_000
 # Hex digits of the hash that name a numbering bucket: 16 ** 4 = 65536 buckets.
 BUCKET_DIGITS = 4
 
@@ -105,19 +103,15 @@ def frequent_keys(
     rows: DataFrame,
     on: Sequence[str],
     rows_per_split: int = ROWS_PER_SPLIT,
-    at_most: int = FREQUENT_KEYS,
 ) -> DataFrame:
     """Keys with more rows than one task should get, and over how many tasks to spread them.
 
-    At most ``at_most`` rows, the most frequent ones: with that many on the list, any other
-    key holds less than 1 / ``at_most`` of all rows.
+    All of them: there are fewer than rows / ``rows_per_split``.
     """
     return (
         rows.groupBy(*on)
         .agg(F.count(F.lit(1)).alias("__count"))
         .where(F.col("__count") > rows_per_split)
-        .orderBy(F.desc("__count"), *on)
-        .limit(at_most)
         .select(
             *[F.col(c).alias(f"__f_{c}") for c in on],
             F.ceil(F.col("__count") / F.lit(rows_per_split)).cast("int").alias("__splits"),
@@ -129,7 +123,7 @@ def _with_splits(df: DataFrame, frequent: DataFrame, on: Sequence[str]) -> DataF
     condition = F.lit(True)
     for name in on:
         condition = condition & F.col(name).eqNullSafe(F.col(f"__f_{name}"))
-    return df.join(F.broadcast(frequent), condition, "left").drop(*[f"__f_{c}" for c in on])
+    return df.join(frequent, condition, "left").drop(*[f"__f_{c}" for c in on])
 
 
 def lookup(

@@ -151,7 +151,7 @@ def years(description: str) -> str:
     low = f"lower(coalesce({description}, ''))"
     tries = ", ".join(f"nullif(regexp_extract({low}, '{p}', 1), '')" for p in YEARS_PATTERNS)
     digits = f"coalesce({tries})"
-    return f"CASE WHEN {digits} IS NOT NULL THEN least(try_cast({digits} AS DOUBLE), 1000)::BIGINT END"
+    return f"CASE WHEN {digits} IS NOT NULL THEN try_cast({digits} AS BIGINT) END"
 
 
 def years_level(y: str) -> str:

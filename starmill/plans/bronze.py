@@ -44,10 +44,13 @@ def location_text(city: Column, country: Column) -> Column:
 
 
 def skills_text(
-    required: Column, title: Column, description: Column, terms: Sequence[str] = rules.SKILL_TERMS
+    listed: Column,
+    required: Column,
+    title: Column,
+    description: Column,
+    terms: Sequence[str] = rules.SKILL_TERMS,
 ) -> Column:
-    """The listed skills, else the given text, else the known terms named in the posting."""
-    listed = F.from_json(required, "array<string>")
+    """The ``listed`` skills, else the given text, else the known terms named in the posting."""
     # A NULL item of a list counts as the word it prints as.
     named = T.join_filled(F.transform(listed, lambda x: F.coalesce(x, F.lit("None"))))
     return (
@@ -60,9 +63,10 @@ def skills_text(
 # --- the batch -------------------------------------------------------------------------
 
 _RAW_SKILLS = "__required_skills"
+_LISTED = "__listed_skills"
 
 
-def _without_skills(postings: DataFrame, fetched_at: str, order: Sequence[str]) -> DataFrame:
+def _without_skills(postings: DataFrame, fetched_at: str | Column, order: Sequence[str]) -> DataFrame:
     c = F.col
     exp = "job_required_experience"
     na = rules.PLACEHOLDER
@@ -88,14 +92,16 @@ def _without_skills(postings: DataFrame, fetched_at: str, order: Sequence[str])
         ).alias("experience_level"),
         T.first_filled(c("job_apply_link"), c("job_google_link")).alias("apply_link"),
         T.or_default(c("job_posted_at"), na).alias("posted_at"),
-        F.lit(fetched_at).alias("fetched_at"),
+        (fetched_at if isinstance(fetched_at, Column) else F.lit(fetched_at)).alias("fetched_at"),
         T.or_default(c("job_description"), na).alias("description"),
     )
 
 
 def _with_skills(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    skills = skills_text(F.col(_RAW_SKILLS), F.col("job_title"), F.col("description"))
-    return rows.withColumn("skills", skills).select(*order, *rules.BRONZE_COLUMNS)
+    # A column of its own, so that the list is parsed once.
+    parsed = rows.withColumn(_LISTED, F.from_json(F.col(_RAW_SKILLS), "array<string>"))
+    skills = skills_text(*[F.col(c) for c in (_LISTED, _RAW_SKILLS, "job_title", "description")])
+    return parsed.withColumn("skills", skills).select(*order, *rules.BRONZE_COLUMNS)
 
 
 def normalise(postings: DataFrame, fetched_at: str, order: Sequence[str]) -> DataFrame:
@@ -103,18 +109,27 @@ def normalise(postings: DataFrame, fetched_at: str, order: Sequence[str]) -> Dat
     return _with_skills(_without_skills(postings, fetched_at, order), order)
 
 
-def drop_repeats(batch: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The first row of each identity within the batch."""
-    return dedup.keep_first(batch, dedup.batch_identity(), order)
+def drop_repeats(batch: DataFrame, order: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """The first row of each identity, within each value of the ``within`` columns."""
+    key = {name: F.col(name) for name in within} | dedup.batch_identity()
+    return dedup.keep_first(batch, key, order)
 
 
-def batch(postings: DataFrame, fetched_at: str, order: Sequence[str]) -> DataFrame:
+def batch(
+    postings: DataFrame,
+    fetched_at: str | Column,
+    order: Sequence[str],
+    within: Sequence[str] = (),
+) -> DataFrame:
     """Normalised postings without repeats.
 
+    A file is one fetch.  With ``within=["ingest_file"]`` repeats go within each file, and what
+    is kept does not depend on how many files are taken together.
+
     The identity does not use the skills, so the text search runs after repeats are gone and
     on the partitions the de-duplication spread evenly, not on one task per landing file.
     """
-    unique = drop_repeats(_without_skills(postings, fetched_at, order), order)
+    unique = drop_repeats(_without_skills(postings, fetched_at, order), order, within)
     return _with_skills(unique, order)
 
 

@@ -146,21 +146,23 @@ def new_dimension_rows(
 
 
 def new_jobs(rows: DataFrame, existing: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Numbering runs on the ids alone; the wide rows are shuffled once, by job id."""
+    """Numbering runs on the ids alone, and only rows of new ids are ranked and shuffled."""
     ids = new_dimension_rows(rows.select("JOB_ID").distinct(), existing, ["JOB_ID"], "JOB_KEY")
-    return jobs(rows, order).join(ids, "JOB_ID")
+    fresh = rows.join(ids.select("JOB_ID"), "JOB_ID", "left_semi")
+    return jobs(fresh, order).join(ids, "JOB_ID")
 
 
 def new_facts(rows: DataFrame, star: dict[str, DataFrame], order: Sequence[str], **sizes) -> DataFrame:
     """Facts of jobs that have none yet, with the keys of their dimensions.
 
-    The first row per job is taken before the lookups, and jobs already loaded are dropped
-    on the narrow side, so only new rows meet the dimensions.
+    The batch's own ids decide which jobs are open, so neither old jobs nor old facts are
+    compared with each other; rows of open jobs alone are ranked and meet the dimensions.
     """
-    open_jobs = keys.absent(
-        star["DIM_JOB"].select("JOB_ID", "JOB_KEY"), star["FACT_JOBS"], ["JOB_KEY"]
-    )
-    fresh = fact_rows(rows, order).join(open_jobs, "JOB_ID")
+    offered = rows.select("JOB_ID").distinct()
+    known = star["DIM_JOB"].select("JOB_ID", "JOB_KEY").join(offered, "JOB_ID", "left_semi")
+    open_jobs = keys.absent(known, star["FACT_JOBS"], ["JOB_KEY"])
+    wanted = rows.join(open_jobs.select("JOB_ID"), "JOB_ID", "left_semi")
+    fresh = fact_rows(wanted, order).join(open_jobs, "JOB_ID")
     with_company = keys.lookup(
         fresh,
         star["DIM_COMPANY"],
@@ -195,15 +197,8 @@ def new_bridge_rows(rows: DataFrame, star: dict[str, DataFrame], **sizes) -> Dat
         counted_in=mentions.select("SKILL_NAME"),
         **sizes,
     )
-    with_job = keys.lookup(
-        with_skill,
-        star["DIM_JOB"].select("JOB_ID", "JOB_KEY"),
-        ["JOB_ID"],
-        row_id=["SKILL_KEY"],
-        how="inner",
-        counted_in=mentions.select("JOB_ID"),
-        **sizes,
-    )
+    # After ``distinct`` a job has one row per skill: no id is frequent enough to spread.
+    with_job = with_skill.join(star["DIM_JOB"].select("JOB_ID", "JOB_KEY"), "JOB_ID")
     return keys.absent(
         with_job.select("JOB_KEY", "SKILL_KEY"),
         star["BRIDGE_JOB_SKILL"],

@@ -1,14 +1,18 @@
 """One run: landing payload -> history -> cleaned table -> star, with a gate after each hop.
 
-Every run writes a new snapshot of the history and of the cleaned table; nothing a reader may
-hold open is overwritten.  A run repeated under the same number replaces its own snapshots
-and adds nothing twice to the star.
+Every write makes a new folder, and a manifest row added last says which run it belongs to, how
+many rows it holds and where the run came from.  What no manifest row names is not there; nothing
+a reader may hold open, and nothing of another run, is ever overwritten.  A run repeated by the
+same source replaces its own snapshots in the manifest and adds nothing twice to the star.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +21,17 @@ from starmill.operators import dedup
 from starmill.plans import bronze, gold, silver
 from starmill.session import configure
 from starmill.sources.landing import postings
-from starmill.sources.tables import EmptySource, StarStore, require_count, require_path
+from starmill.sources.tables import (
+    CountMismatch,
+    EmptySource,
+    StarStore,
+    require_count,
+    require_path,
+)
+
+MANIFEST = "layer string, run bigint, written bigint, path string, rows bigint, source string"
+# Run numbers of backfilled rows are lower by this much, so they lie below all runs.
+BACKFILLS = 1 << 40
 
 
 @dataclass
@@ -28,60 +42,117 @@ class Lake:
     folder: str
     fmt: str = "parquet"
 
-    def path(self, layer: str, run: int) -> str:
-        return f"{self.folder.rstrip('/')}/{layer}/{run:08d}"
-
-    def write(self, layer: str, run: int, df: DataFrame) -> DataFrame:
-        """Write a snapshot and read it back through its gate: there, and not empty."""
-        df.write.format(self.fmt).mode("overwrite").save(self.path(layer, run))
-        return require_path(self.spark, self.path(layer, run), self.fmt)
+    @property
+    def _root(self) -> str:
+        return self.folder.rstrip("/")
+
+    def entries(self) -> list[dict]:
+        """The manifest, one entry per layer and run, the newest write of each."""
+        try:
+            rows = self.spark.read.schema(MANIFEST).parquet(f"{self._root}/manifest")
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            rows = self.spark.createDataFrame([], MANIFEST)
+        newest: dict[tuple, dict] = {}
+        for entry in sorted((r.asDict() for r in rows.collect()), key=lambda e: e["written"]):
+            newest[entry["layer"], entry["run"]] = entry
+        found = list(newest.values())
+        if not found and self._exists("bronze"):
+            raise RuntimeError(f"{self._root} holds snapshots but no manifest")
+        return found
+
+    def _exists(self, layer: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self._root}/{layer}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    def _entry(self, layer: str, run: int) -> dict | None:
+        return next((e for e in self.entries() if (e["layer"], e["run"]) == (layer, run)), None)
+
+    def write(self, layer: str, run: int, df: DataFrame, source: str, least: int = 1) -> DataFrame:
+        """Write a snapshot and read it back through its gate: at least ``least`` rows.
+
+        Raises when another source wrote this run.
+        """
+        before = self._entry(layer, run)
+        if before and before["source"] != source:
+            raise RuntimeError(f"{layer} run {run} was written by {before['source']}, not by {source}")
+        path = f"{self._root}/{layer}/{run:08d}-{uuid.uuid4().hex}"
+        df.write.format(self.fmt).save(path)
+        stored = require_path(self.spark, path, self.fmt)
+        rows = stored.count()
+        if rows < least:
+            raise CountMismatch(f"{layer} run {run}: {rows} rows, at least {least} were there")
+        entry = [(layer, run, time.time_ns(), path, rows, source)]
+        self.spark.createDataFrame(entry, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self._root}/manifest")
+        return stored
 
     def read(self, layer: str, run: int) -> DataFrame:
-        return require_path(self.spark, self.path(layer, run), self.fmt)
+        entry = self._entry(layer, run)
+        if entry is None:
+            raise EmptySource(f"no {layer} of run {run}")
+        return require_path(self.spark, entry["path"], self.fmt)
+
+    def last(self, layer: str, before: int | None = None) -> dict | None:
+        """The newest snapshot's manifest entry (of a run below ``before``), None when there is none."""
+        held = [e for e in self.entries() if e["layer"] == layer and (before is None or e["run"] < before)]
+        return max(held, key=lambda e: e["run"], default=None)
 
     def last_run(self, layer: str, before: int | None = None) -> int | None:
-        """The newest complete snapshot (older than ``before``), None when there is none."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder.rstrip('/')}/{layer}")
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return None
-        runs = [
-            int(status.getPath().getName())
-            for status in fs.listStatus(path)
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-        ]
-        runs = [r for r in runs if before is None or r < before]
-        return max(runs, default=None)
+        entry = self.last(layer, before)
+        return entry and entry["run"]
+
+    def run_of(self, source: str) -> int:
+        """The run that ``source`` wrote before, or the next free number."""
+        entries = self.entries()
+        own = [e["run"] for e in entries if e["source"] == source]
+        return own[0] if own else max((e["run"] for e in entries), default=0) + 1
 
     def star(self) -> StarStore:
         return StarStore(self.spark, f"{self.folder.rstrip('/')}/star", gold.SCHEMAS, self.fmt)
 
 
-def update_history(lake: Lake, payloads: DataFrame, run: int, fetched_at: str) -> DataFrame:
-    """The history with this run's postings merged in; a run without postings changes nothing."""
-    last = lake.last_run("bronze", before=run)
+def update_history(
+    lake: Lake, payloads: DataFrame, run: int, fetched_at: str | None, source: str
+) -> DataFrame:
+    """The history with this run's postings merged in; a run without postings changes nothing.
+
+    Without ``fetched_at`` each file's postings were fetched when the file landed.
+    """
+    last = lake.last("bronze", before=run)
     rows = postings(payloads).withColumn("ingest_run", F.lit(run).cast("bigint"))
     if rows.isEmpty():
         if last is None:
             raise EmptySource("no postings landed and there is no history")
-        return lake.read("bronze", last)
-    newer = bronze.batch(rows, fetched_at, bronze.FILE_ORDER)
+        return lake.read("bronze", last["run"])
+    fetched = F.lit(fetched_at) if fetched_at else F.col("landed_at")
+    newer = bronze.batch(rows, fetched, bronze.FILE_ORDER, within=["ingest_file"])
     if last is None:
-        merged = newer
+        merged = dedup.keep_last(newer, dedup.history_identity(), bronze.FILE_ORDER)
     else:
-        merged = bronze.merge(
-            lake.read("bronze", last), newer, history_is_unique=True, newer_is_unique=True
-        )
-    return lake.write("bronze", run, bronze.with_row_order(merged))
-
-
-def run(lake: Lake, payloads: DataFrame, run: int, fetched_at: str) -> DataFrame:
-    """All three hops; returns what was inserted and what existed, per table of the star."""
+        merged = bronze.merge(lake.read("bronze", last["run"]), newer, history_is_unique=True)
+    # A merge replaces postings and adds some; it never loses one.
+    least = last["rows"] if last else 1
+    return lake.write("bronze", run, bronze.with_row_order(merged), source, least)
+
+
+def run(
+    lake: Lake,
+    payloads: DataFrame,
+    run: int,
+    fetched_at: str | None = None,
+    source: str | None = None,
+) -> DataFrame:
+    """All three hops; returns what was inserted and what existed, per table of the star.
+
+    ``source`` names who runs; only the same source may repeat a run.
+    """
     configure(lake.spark)
-    history = update_history(lake, payloads, run, fetched_at)
+    source = source or f"run {run}"
+    history = update_history(lake, payloads, run, fetched_at, source)
     cleaned = silver.silver(history, bronze.ROW_ORDER, keep=bronze.ROW_ORDER)
-    stored = lake.write("silver", run, cleaned)
+    stored = lake.write("silver", run, cleaned, source)
     return gold.load_with_summary(stored, lake.star(), bronze.ROW_ORDER)
 
 
@@ -92,16 +163,17 @@ def backfill(lake: Lake, historical: DataFrame, run: int, row_number: str = "id"
     """
     configure(lake.spark)
     last = lake.last_run("bronze", before=run)
+    # Each backfill lies below all runs, and a later one above an earlier one.
     older = historical.withColumns(
         {
-            "ingest_run": F.lit(0).cast("bigint"),
+            "ingest_run": F.lit(run - BACKFILLS).cast("bigint"),
             "ingest_file": F.lit(""),
             "ingest_pos": F.col(row_number).cast("bigint"),
         }
     )
     existing = None if last is None else lake.read("bronze", last)
     merged = bronze.with_row_order(bronze.backfill(older, existing))
-    stored = lake.write("bronze", run, merged)
+    stored = lake.write("bronze", run, merged, f"backfill {run}")
 
     # Counted from the inputs, not from the write: a task that ran twice counts once here.
     inputs = older.select(*rules.BRONZE_COLUMNS)

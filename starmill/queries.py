@@ -288,7 +288,7 @@ def experience_years_documents(spark, sf_dir):
     years = docs.select("doc_id", classify.years_asked(F.col("text")).alias("years"))
     return years.select(
         "doc_id",
-        F.col("years").cast("bigint").alias("years"),
+        F.col("years").try_cast("bigint").alias("years"),
         classify.level_from_years(F.col("years")).alias("experience_level"),
     )
 

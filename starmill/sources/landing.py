@@ -44,23 +44,28 @@ PAYLOAD = T.StructType(
 )
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return (
-        spark.read.schema(PAYLOAD)
-        .option("multiLine", True)
-        .json(path)
-        .select("data", F.col("_metadata.file_path").alias("ingest_file"))
+# Files of one folder sort by when they landed, then by path.
+_LANDED = "_metadata.file_modification_time"
+TIME_SHOWN = "yyyy-MM-dd HH:mm:ss"
+
+
+def _from_files(reader, path: str) -> DataFrame:
+    """A file that is no JSON document stops the read: left out, its postings would be lost."""
+    rows = reader.schema(PAYLOAD).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    name = F.concat_ws(
+        " ", F.date_format(_LANDED, "yyyyMMddHHmmss.SSSSSS"), F.col("_metadata.file_path")
+    )
+    return rows.select(
+        "data", name.alias("ingest_file"), F.date_format(_LANDED, TIME_SHOWN).alias("landed_at")
     )
 
 
+def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+    return _from_files(spark.read, path)
+
+
 def stream_payloads(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    return (
-        spark.readStream.schema(PAYLOAD)
-        .option("multiLine", True)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(path)
-        .select("data", F.col("_metadata.file_path").alias("ingest_file"))
-    )
+    return _from_files(spark.readStream.option("maxFilesPerTrigger", files_per_batch), path)
 
 
 def postings(payloads: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,14 +18,14 @@ def follow(
 ) -> StreamingQuery:
     """Process every file not seen before, then stop.
 
-    ``progress`` is the folder of the stream's own record of files.  The number of a run is
-    the number of its group of files, so a group repeated after a failure replaces what its
-    first try wrote.
+    ``progress`` is the folder of the stream's own record of files.  A group of files gets the
+    lake's next free run number; a group repeated after a failure finds the run it began and
+    replaces that alone.  Without ``fetched_at`` postings were fetched when their file landed.
     """
 
     def one_run(payloads: DataFrame, group: int) -> None:
-        now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-        run(lake, payloads, group + 1, fetched_at or now)
+        source = f"stream {progress} group {group}"
+        run(lake, payloads, lake.run_of(source), fetched_at, source)
 
     return (
         stream_payloads(lake.spark, landing, files_per_run)

@@ -96,3 +96,22 @@ def test_date_key(spark):
         D.date_key(F.lit(None).cast("date")).alias("n"),
     ).first()
     assert (row.k, row.n) == (20240301, None)
+
+
+@pytest.mark.parametrize(
+    "spelling,expected",
+    [
+        ("Jan 5 2024", "2024-01-05 00:00:00"),
+        ("January 5 2024", "2024-01-05 00:00:00"),
+        ("5 Jan 2024 10:00", "2024-01-05 10:00:00"),
+        ("2024-01-05 10:00 PM", "2024-01-05 22:00:00"),
+        ("Fri, 05 Jan 2024 10:00:00 GMT", "2024-01-05 10:00:00"),
+        ("05-01-2024", "2024-05-01 00:00:00"),
+        ("2024.01.05", "2024-01-05 00:00:00"),
+        ("01/05/24", "2024-01-05 00:00:00"),
+    ],
+)
+def test_more_absolute_spellings(spark, spelling, expected):
+    df = spark.createDataFrame([(spelling,)], "t string")
+    got = df.select(F.date_format(D.absolute_time(F.col("t")), "yyyy-MM-dd HH:mm:ss")).first()[0]
+    assert got == expected

@@ -284,3 +284,47 @@ def test_stage_reads_only_needed_columns(spark):
     staged = tables.stage(spark.range(10).withColumn("wide", F.lit("x")), "test")
     plan = staged.select("id")._jdf.queryExecution().executedPlan().toString()
     assert "struct<id:bigint>" in plan
+
+
+# --- what a run must not lose ------------------------------------------------------------
+
+
+def test_stream_does_not_overwrite_other_runs(spark, tmp_path):
+    from starmill.sources.landing import read_payloads
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    payload(tmp_path / "one", "a.json", job("A", "la"), job("B", "lb"))
+    run(lake, read_payloads(spark, str(tmp_path / "one")), 1, "2024-03-01 08:30:00").collect()
+    payload(tmp_path / "landed", "c.json", job("C", "lc"))
+    for progress in ("p1", "p2"):
+        follow(lake, str(tmp_path / "landed"), str(tmp_path / progress)).awaitTermination()
+    last = lake.read("bronze", lake.last_run("bronze"))
+    assert sorted(r.job_title for r in last.collect()) == ["A", "B", "C"]
+    assert lake.last_run("bronze") == 3
+    with pytest.raises(RuntimeError):
+        run(lake, read_payloads(spark, str(tmp_path / "one")), 2, "2024-03-01 08:30:00")
+
+
+@pytest.mark.parametrize("files", [1, 2, 1000])
+def test_grouping_of_files_does_not_change_the_history(spark, tmp_path, files):
+    import os
+
+    landed = tmp_path / "landed"
+    for at, (name, title) in enumerate([("b.json", "older"), ("a.json", "newer")]):
+        payload(landed, name, job(title, "l1"))
+        os.utime(landed / name, (1_700_000_000 + at, 1_700_000_000 + at))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    follow(lake, str(landed), str(tmp_path / "progress"), files_per_run=files).awaitTermination()
+    rows = lake.read("bronze", lake.last_run("bronze")).collect()
+    assert [(r.job_title, r.fetched_at) for r in rows] == [("newer", "2023-11-14 22:13:21")]
+
+
+def test_a_torn_landing_file_stops_the_run(spark, tmp_path):
+    from starmill.sources.landing import read_payloads
+
+    payload(tmp_path / "in", "a.json", job("A", "la"))
+    (tmp_path / "in" / "b.json").write_text('{"data": {"jobs": [{"job_title": "B"')
+    lake = Lake(spark, str(tmp_path / "lake"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run(lake, read_payloads(spark, str(tmp_path / "in")), 1, "2024-03-01 08:30:00")
+    assert lake.last_run("bronze") is None
