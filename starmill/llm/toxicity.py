@@ -74,34 +74,22 @@ def _hits(text: str, wanted: np.ndarray | None) -> np.ndarray:
 # --- training --------------------------------------------------------------------------
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, share: float, rounds: int = 150) -> Model:
-    """A model from the features of each text and its label; ``share`` of label 1 among all rows."""
+def fit(features: np.ndarray, ratio: np.ndarray, texts: list[np.ndarray], labels: np.ndarray, share: float, rounds: int = 150) -> Model:
+    """A model over ``features`` (ascending) and their log-count ratios.
+
+    ``texts``: the features of each training text, ``share``: of label 1 among all rows.
+    """
     toxic = labels == 1
     prior = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
-    nothing = Model(np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.float32), prior)
-    if not toxic.any() or toxic.all():
-        return nothing
-    counts = np.zeros((2, 1 << BITS), dtype=np.int32)
-    for features, label in zip(texts, labels, strict=True):
-        counts[int(label), features] += 1
-    frequent = np.flatnonzero(counts.sum(axis=0) >= LEAST_TEXTS)
-    held = counts[:, frequent].astype(np.float64)
-    expected = held.sum(axis=0) * toxic.mean()
-    off = np.abs(held[1] - expected) / np.sqrt(expected * (1 - toxic.mean()) + 1)
-    chosen = np.sort(np.argsort(-off, kind="stable")[:MOST_FEATURES])
-    features = frequent[chosen].astype(np.uint32)
-    scale = np.log((held[1, chosen] + 1) / (toxic.sum() + 2)) - np.log((held[0, chosen] + 1) / ((~toxic).sum() + 2))
-    if not len(features):
-        return nothing
-    place = np.full(1 << BITS, -1, dtype=np.int32)
-    place[features] = np.arange(len(features))
-    rows = [p[p >= 0] for p in (place[t] for t in texts)]
+    if not len(features) or not toxic.any() or toxic.all():
+        return Model(np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.float32), prior)
+    rows = [np.searchsorted(features, t) for t in texts]
     columns = np.concatenate(rows)
     of_row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     weight /= weight.sum()
-    weights = _logistic(columns, of_row, scale[columns], labels.astype(np.float64), weight, len(features), prior, rounds)
-    return Model(features, (weights[:-1] * scale).astype(np.float32), float(weights[-1]))
+    weights = _logistic(columns, of_row, ratio[columns], labels.astype(np.float64), weight, len(features), prior, rounds)
+    return Model(features, (weights[:-1] * ratio).astype(np.float32), float(weights[-1]))
 
 
 def _logistic(columns, of_row, values, labels, weight, width, prior, rounds, penalty=1e-4, rate=0.05) -> np.ndarray:
@@ -141,17 +129,43 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         known.where("toxic = 0").orderBy(*order).limit(sample)
     )
 
+    # Features are counted and chosen by Spark; the driver sees the chosen ones alone.
+    texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    ones, zeros = min(counts.get(1, 0), sample), min(counts.get(0, 0), sample)
+    mean = ones / (ones + zeros)
+    held = texts.mapInPandas(_count, "feature long, n1 long, n0 long").groupBy("feature").agg(
+        F.sum("n1").alias("n1"), F.sum("n0").alias("n0")
+    )
+    expected = (F.col("n1") + F.col("n0")) * mean
+    off = F.abs(F.col("n1") - expected) / F.sqrt(expected * (1 - mean) + 1)
+    kept = held.where(F.col("n1") + F.col("n0") >= LEAST_TEXTS).orderBy(off.desc(), "feature").limit(MOST_FEATURES)
+    kept = sorted((r.feature, r.n1, r.n0) for r in kept.collect())
+    features = np.array([k[0] for k in kept], dtype=np.uint32)
+    n1, n0 = (np.array([k[i] for k in kept], dtype=np.float64) for i in (1, 2))
+    ratio = np.log((n1 + 1) / (ones + 2)) - np.log((n0 + 1) / (zeros + 2))
+
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted = np.zeros(1 << BITS, dtype=bool)
+        wanted[features] = True
         for batch in batches:
-            features = [_hits(text, None).astype("<u4").tobytes() for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "features": features})
+            found = [_hits(text, wanted).astype("<u4").tobytes() for text in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "features": found})
 
-    texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = texts.mapInPandas(extract, "doc_id long, toxic int, features binary").toPandas()
     # The order of the rows must not decide the last digits of the weights.
     rows = rows.sort_values(["doc_id", "features"], kind="stable")
-    features = [np.frombuffer(f, dtype="<u4") for f in rows["features"]]
-    return fit(features, rows["toxic"].to_numpy(), counts.get(1, 0) / total)
+    found = [np.frombuffer(f, dtype="<u4") for f in rows["features"]]
+    return fit(features, ratio, found, rows["toxic"].to_numpy(), counts.get(1, 0) / total)
+
+
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many texts of each label hold a feature, one row per feature of the task's texts."""
+    held = np.zeros((2, 1 << BITS), dtype=np.int32)
+    for batch in batches:
+        for text, label in zip(batch["text"], batch["toxic"], strict=True):
+            held[int(label), _hits(text, None)] += 1
+    for at in np.array_split(np.flatnonzero(held.any(axis=0)), 16):
+        yield pd.DataFrame({"feature": at, "n1": held[1, at].astype("int64"), "n0": held[0, at].astype("int64")})
 
 
 # --- scoring ---------------------------------------------------------------------------
