@@ -60,7 +60,7 @@ def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.derive(warc.responses(read(spark, sf_dir, "pages")))
-    return records.withColumn("text", warc.text_of_record(F.col("record"))).drop("record")
+    return records.withColumn("text", warc.text_of_record(F.col("record"), F.col("content_length"))).drop("record")
 
 
 def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

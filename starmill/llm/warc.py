@@ -78,12 +78,13 @@ def response_record(page_id: int | None, url: str, page: str, date: str) -> byte
     payload = page.encode("utf-8", "replace")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     block = http.encode() + payload
+    payload_digest = digest(payload)
     headers = [
         ("WARC-Type", "response"),
-        ("WARC-Record-ID", _named("response", str(page_id), url, digest(payload))),
+        ("WARC-Record-ID", _named("response", str(page_id), url, payload_digest)),
         ("WARC-Target-URI", _line(url)),
         ("WARC-Date", date),
-        ("WARC-Payload-Digest", digest(payload)),
+        ("WARC-Payload-Digest", payload_digest),
         ("WARC-Block-Digest", digest(block)),
         ("Content-Type", "application/http; msgtype=response"),
     ]
@@ -93,7 +94,8 @@ def response_record(page_id: int | None, url: str, page: str, date: str) -> byte
 def plain_text(page: str) -> str:
     """Text of a page: one line per block, white space joined, no markup, scripts, styles or title."""
     text = _SKIPPED.sub(" ", page)
-    text = re.sub(r"[ \t\r\n\f]+", " ", text)
+    for space in "\t\r\n\f":  # no line of its own; runs of spaces go with the split below
+        text = text.replace(space, " ")
     text = _TAGS.sub("", _BREAKS.sub("\n", text))
     lines = (" ".join(html.unescape(line).split()) for line in text.split("\n"))
     return "\n".join(line for line in lines if line)
@@ -184,7 +186,6 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.lit(None).cast("long").alias("page_id"), F.col("content").alias("record"))
 
 
-def text_of_record(record: Column) -> Column:
-    """The block of a record as text: what lies between its first empty line and its end."""
-    text = F.decode(record, "utf-8")
-    return F.regexp_replace(F.substring(text, F.instr(text, "\r\n\r\n") + 4, F.length(text)), "\r\n\r\n$", "")
+def text_of_record(record: Column, size: Column) -> Column:
+    """The block of a record, its last ``size`` bytes before the two line ends, as text."""
+    return F.decode(F.substring(record, F.octet_length(record) - size.cast("int") - 3, size.cast("int")), "utf-8")

@@ -522,7 +522,7 @@ def test_derived_records(spark, sf_dir):
     records = warc.responses(pages)
     source = {r.page_id: bytes(r.record) for r in records.collect()}
     urls = {r.page_id: r.url for r in pages.collect()}
-    got = warc.derive(records).withColumn("text", warc.text_of_record(F.col("record"))).collect()
+    got = warc.derive(records).withColumn("text", warc.text_of_record(F.col("record"), F.col("content_length"))).collect()
     assert Counter(r.record_type for r in got) == {"metadata": 40, "conversion": 40}
     for r in got:
         ((headers, block),) = warc.parse_records(source[r.page_id])
