@@ -23,14 +23,23 @@ BUCKET_DIGITS = 4
 # --- insert-only -----------------------------------------------------------------------
 
 
-def absent(rows: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Rows whose key is not in ``existing``."""
+def _against(rows: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool, how: str) -> DataFrame:
     theirs = existing.select(*[F.col(c).alias(f"__e_{c}") for c in on])
     condition = F.lit(True)
     for name in on:
         a, b = rows[name], theirs[f"__e_{name}"]
         condition = condition & (a.eqNullSafe(b) if null_safe else a == b)
-    return rows.join(theirs, condition, "left_anti")
+    return rows.join(theirs, condition, how)
+
+
+def absent(rows: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Rows whose key is not in ``existing``."""
+    return _against(rows, existing, on, null_safe, "left_anti")
+
+
+def present(rows: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Rows whose key is in ``existing``."""
+    return _against(rows, existing, on, null_safe, "left_semi")
 
 
 # --- surrogate keys --------------------------------------------------------------------

@@ -55,7 +55,7 @@ def distinct_items(x: str) -> str:
 
 
 def shown(x: str) -> str:
-    return f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
+    return f"strftime({x}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
 def shown_date(x: str) -> str:
@@ -492,6 +492,7 @@ ORACLES["silver_full"] = with_raw(_SHOWN_SILVER, SILVER)
 ORACLES["silver_from_landing"] = (
     f"WITH merged AS ({_MERGED}), {silver_steps('merged', 'x_', MERGED_NAMES)} {_SHOWN_SILVER}"
 )
+ORACLES["silver_incremental"] = ORACLES["silver_from_landing"]
 
 # --- star ------------------------------------------------------------------------------
 

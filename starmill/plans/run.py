@@ -137,22 +137,41 @@ def update_history(
     return lake.write("bronze", run, bronze.with_row_order(merged), source, least)
 
 
+def update_cleaned(lake: Lake, history: DataFrame, run: int, source: str, rebuild: bool = False) -> DataFrame:
+    """The cleaned table of the newest history.
+
+    Where the run before it has both snapshots, only postings that this run touched are cleaned;
+    a run without postings takes over the cleaned table.  ``rebuild`` cleans everything.
+    """
+    order = bronze.ROW_ORDER
+    landed = lake.last_run("bronze", before=run + 1) == run
+    before, cleaned = lake.last_run("bronze", before=run), lake.last_run("silver", before=run)
+    if rebuild or before is None or before != cleaned:
+        return lake.write("silver", run, silver.silver(history, order, keep=order), source)
+    if not landed:
+        return lake.read("silver", cleaned)
+    came = F.col("ingest_run") == run
+    newer = silver.refresh(lake.read("silver", cleaned), lake.read("bronze", before), history, came, order)
+    return lake.write("silver", run, newer, source)
+
+
 def run(
     lake: Lake,
     payloads: DataFrame,
     run: int,
     fetched_at: str | None = None,
     source: str | None = None,
+    rebuild: bool = False,
 ) -> DataFrame:
     """All three hops; returns what was inserted and what existed, per table of the star.
 
-    ``source`` names who runs; only the same source may repeat a run.
+    ``source`` names who runs; only the same source may repeat a run.  ``rebuild`` cleans the
+    whole history again, as after a change of the rules.
     """
     configure(lake.spark)
     source = source or f"run {run}"
     history = update_history(lake, payloads, run, fetched_at, source)
-    cleaned = silver.silver(history, bronze.ROW_ORDER, keep=bronze.ROW_ORDER)
-    stored = lake.write("silver", run, cleaned, source)
+    stored = update_cleaned(lake, history, run, source, rebuild)
     return gold.load_with_summary(stored, lake.star(), bronze.ROW_ORDER)
 
 

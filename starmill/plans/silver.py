@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from starmill import rules
 from starmill.functions import classify, dates
 from starmill.functions import text as T
-from starmill.operators import dedup
-from starmill.operators.schema import require_columns
+from starmill.operators import dedup, keys
+from starmill.operators.schema import require_columns, try_cast_columns
 
 
 def drop_repeats(bronze: DataFrame, order: Sequence[str | Column]) -> DataFrame:
@@ -115,4 +115,27 @@ def silver(bronze: DataFrame, order: Sequence[str | Column], keep: Sequence[str]
     cleaned = clean(drop_repeats(bronze, order), keep).drop("salary")
     known = [*keep, *rules.SILVER_TYPES]
     others = [c for c in cleaned.columns if c not in known]
-    return cleaned.select(*known, *others)
+    return try_cast_columns(cleaned.select(*known, *others), rules.SILVER_TYPES)
+
+
+def refresh(
+    cleaned: DataFrame, before: DataFrame, after: DataFrame, came: Column, order: Sequence[str]
+) -> DataFrame:
+    """What :func:`silver` gives for ``after``, made from ``cleaned``, what it gave for ``before``.
+
+    ``after`` is ``before`` with newer rows merged in; ``came`` is true for those rows.  A posting
+    key is touched when one of its rows came, or went because a newer one replaced it.  Only
+    touched postings are ranked and cleaned again; the others are taken from ``cleaned`` as they
+    are.  ``order`` names the row-order columns, which must be distinct for each row and kept in
+    ``cleaned``.
+    """
+    newer = after.where(came)
+    named = {f"__k_{name}": column for name, column in dedup.history_identity().items()}
+    identities = newer.select(*[column.alias(name) for name, column in named.items()])
+    went = keys.present(before.withColumns(named), identities, list(named), null_safe=True)
+    touched = newer.select(*rules.POSTING_KEY).unionByName(went.select(*rules.POSTING_KEY)).distinct()
+
+    old = keys.present(before.select(*order, *rules.POSTING_KEY), touched, rules.POSTING_KEY, null_safe=True)
+    kept = keys.absent(cleaned, drop_repeats(old, order), order, null_safe=True)
+    again = keys.present(after, touched, rules.POSTING_KEY, null_safe=True)
+    return kept.unionByName(silver(again, order, keep=order))

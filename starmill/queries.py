@@ -21,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 RUN_ORDER = ["ingest_run", "ingest_seq"]
-SHOWN = "yyyy-MM-dd HH:mm:ss"
+SHOWN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def query(build: Query) -> Query:
@@ -333,6 +333,26 @@ def silver_from_landing(spark, sf_dir):
     return _shown(silver.silver(merged, stored, keep=stored))
 
 
+@query
+def silver_incremental(spark, sf_dir):
+    """The same rows when the history is cleaned already: only touched postings are again."""
+    order = ["ingest_unlinked", *RUN_ORDER]
+
+    def stored(rows: DataFrame) -> DataFrame:
+        marked = rows.withColumn("ingest_unlinked", (~dedup.linked()).cast("int"))
+        return tables.stage(marked.select(*order, *rules.BRONZE_COLUMNS), "bronze")
+
+    history = _raw(spark, sf_dir).withColumn("ingest_run", F.lit(1).cast("bigint"))
+    before = stored(dedup.keep_last(history, dedup.history_identity(), RUN_ORDER))
+    cleaned = tables.stage(silver.silver(before, order, keep=order), "silver")
+    rows = landing.postings(fixtures.landing(spark, sf_dir))
+    newer = bronze.batch(rows, fixtures.FETCHED_AT, ORDER).withColumn(
+        "ingest_run", F.lit(2).cast("bigint")
+    )
+    after = stored(bronze.merge(before, newer, RUN_ORDER, history_is_unique=True))
+    return _shown(silver.refresh(cleaned, before, after, F.col("ingest_run") == 2, order))
+
+
 # --- star ------------------------------------------------------------------------------
 
 

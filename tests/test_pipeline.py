@@ -328,3 +328,33 @@ def test_a_torn_landing_file_stops_the_run(spark, tmp_path):
     with pytest.raises(Exception, match="(?i)malformed"):
         run(lake, read_payloads(spark, str(tmp_path / "in")), 1, "2024-03-01 08:30:00")
     assert lake.last_run("bronze") is None
+
+
+def test_only_touched_postings_are_cleaned_again(spark):
+    """Rows that replace, add and repeat postings leave what cleaning everything gives."""
+
+    def rows(run, *postings):
+        named = [{"job_title": t, "apply_link": link, "company": "acme", "ingest_run": run, "ingest_pos": i}
+                 for i, (t, link) in enumerate(postings)]
+        columns = [*bronze.FILE_ORDER, *rules.BRONZE_COLUMNS]
+        types = {"ingest_run": "bigint", "ingest_pos": "bigint"}
+        return spark.createDataFrame(
+            [tuple(n.get(c, "a.json" if c == "ingest_file" else None) for c in columns) for n in named],
+            ", ".join(f"{c} {types.get(c, 'string')}" for c in columns),
+        )
+
+    order = bronze.ROW_ORDER
+    first = rows(1, ("Dev", "l1"), ("Ops", None), (None, "l3"), ("Same", "l4"), ("Same", "l5"), ("Alone", "l8"))
+    newer = rows(2, ("Dev II", "l1"), ("QA", "l2"), ("Other", "l4"), ("Ops", "l6"), (None, "l7"))
+    before = tables.stage(bronze.with_row_order(first), "test-before")
+    after = tables.stage(bronze.with_row_order(bronze.merge(before, newer, history_is_unique=True)), "test-after")
+    cleaned = tables.stage(silver.silver(before, order, keep=order), "test-cleaned")
+    marked = cleaned.withColumn("source", F.lit("as it was"))
+    got = silver.refresh(marked, before, after, F.col("ingest_run") == 2, order).collect()
+    whole = silver.silver(after, order, keep=order).drop("source").collect()
+
+    def shown(found):
+        return sorted(repr({k: v for k, v in r.asDict().items() if k != "source"}) for r in found)
+
+    assert shown(got) == shown(whole)
+    assert [r.job_title for r in got if r.source == "as it was"] == ["Alone"]
