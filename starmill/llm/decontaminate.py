@@ -12,8 +12,9 @@ Each candidate is then verified on words: the longest common subsequence of the
 of the document that the passage points to must cover ``SAME`` of the item, or ``LIKE`` of it when
 the region holds the item's answer, its last ``ANSWER`` words, as a subsequence too.
 
-The benchmark is a stated, bounded set of queries; it is taken in blocks of ``ITEMS`` items, so what
-each task holds is bounded.  The documents are read once into word numbers per block.
+The benchmark is a stated, bounded set of queries; it is taken in blocks of items with no more
+passages than the latent space has dimensions, so the projection is exact whatever the size of the
+benchmark, and what each task holds is bounded.  The documents are read once into word numbers per block.
 """
 
 from __future__ import annotations
@@ -38,7 +39,6 @@ SAME = 0.8
 LIKE = 0.6
 ANSWER = 5
 LEAST_WORDS = 5
-ITEMS = 5000
 _ROWS = 2000
 _CHUNK = 256
 # ASCII letters and digits, and all that is not ASCII, make words.
@@ -241,13 +241,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Dat
     listed = [(r[0], words(r[1])) for r in listed.orderBy("item_id", "text").toLocalIterator()]
     listed = [(i, w) for i, w in listed if len(w) >= LEAST_WORDS]
     out = spark.createDataFrame([], _FOUND)
-    for at in range(0, len(listed), ITEMS):
-        found = _block(docs, listed[at : at + ITEMS], rank)
+    for at, block in enumerate(blocks(listed, rank)):
+        found = _block(docs, block, rank)
         out = stage(out.unionByName(found) if at else found, "leaks")
     best = F.max_by(F.struct("first_word", "cosine", "share", "answered"), F.struct("share", "cosine", -F.col("first_word")))
     return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
 
+def blocks(listed: list[tuple[int, list[bytes]]], rank: int) -> Iterator[list[tuple[int, list[bytes]]]]:
+    """Items in blocks of at most ``rank`` passages; one with more passages is a block of its own."""
+    block, held = [], 0
+    for item in listed:
+        more = len(windows(len(item[1])))
+        if block and held + more > rank:
+            yield block
+            block, held = [], 0
+        block.append(item)
+        held += more
+    if block:
+        yield block
+
+
 def _block(docs: DataFrame, listed: list[tuple[int, list[bytes]]], rank: int) -> DataFrame:
     spark = docs.sparkSession
     vocabulary = {word: i for i, word in enumerate(sorted({w for _, ws in listed for w in ws}))}
@@ -275,7 +289,7 @@ def _block(docs: DataFrame, listed: list[tuple[int, list[bytes]]], rank: int) ->
     counted = numbered.select("ids").mapInPandas(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(outside + 1, dtype=np.float64)
     counts[counted["word"]] = counted["n"]
-    index = build_index(spark, items, vocabulary, counts[:-1], int(counts[-1]), rank)
+    index = build_index(spark, items, vocabulary, counts[:-1], int(counts[-1]), max(rank, len(_matrix(items)[0])))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [field.split()[0] for field in _FOUND.split(", ")]

@@ -620,3 +620,14 @@ def test_decontamination_odd(spark, odd, nothing):
     assert decontaminate.contaminated(nothing, benchmark).count() == 0
     kept = decontaminate.keep_clean(odd, benchmark)
     assert kept.columns == odd.columns and kept.count() == odd.count() - 3
+
+
+def test_verbatim_copies_are_found_in_large_benchmarks(spark):
+    rng = np.random.default_rng(8)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(9000)]
+    prose = lambda n: [str(w) for w in rng.choice(vocabulary, n)]
+    items = [prose(int(n)) for n in rng.integers(12, 32, 2100)]
+    rows = [(i, " ".join([*prose(60), *items[i * 7], *prose(60)])) for i in range(60)]
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = decontaminate.contaminated(docs_of(spark, rows), benchmark)
+    assert {tuple(r) for r in got.select("doc_id", "item_id").collect()} >= {(i, i * 7) for i in range(60)}
