@@ -1,27 +1,33 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Texts are read as passages: windows of ``WINDOW`` words, each ``STRIDE`` words after the last.
-Passages of the benchmark are the rows of a TF-IDF matrix whose word weights come from the counts
-of all documents.  A randomised SVD of this matrix, its products summed by Spark over blocks of
-rows, gives a latent space; a document passage is folded into it and compared with the benchmark
-passages by cosine, where its norm counts all its words, those outside the vocabulary as the
-rarest.  Each word carries the most it can add to any cosine; passages whose words together
-cannot reach the threshold are passed over without being projected, and nothing is lost by it.
+Items of the benchmark are the rows of a TF-IDF matrix whose word weights come from the counts of
+all documents.  A randomised SVD of this matrix, its products summed by Spark over blocks of rows,
+gives a latent space.  Items are taken in blocks of no more than ``RANK``, so the space holds every
+item whole, and the product of an item with a region of a document, folded into it, is exact
+whatever the size of the benchmark.
+
+A document's regions begin every ``STRIDE`` words and are two strides longer than the item; one
+that runs past the end of the text is cut there.  What lies in an item's length and one stride
+lies whole in one of them.  A region is a candidate when its product with the item reaches the
+least that a verified copy can have: no norm of the document and no word outside the benchmark
+takes part, so nothing verifiable is passed over, however many documents there are.  Each word
+carries the most it can add to any product; regions whose words together cannot reach the least
+are passed over.
 
 Each candidate is then verified on words: the longest common subsequence of the item and the region
-of the document that the passage points to must cover ``SAME`` of the item, or ``LIKE`` of it when
-the region holds the item's answer, its last ``ANSWER`` words, as a subsequence too.
+must cover ``SAME`` of the item, or ``LIKE`` of it when the region holds the item's answer, its
+last ``ANSWER`` words, as a subsequence too.  Items of fewer than ``LEAST_WORDS`` words are searched
+word for word instead.
 
-The benchmark is a stated, bounded set of queries; it is taken in blocks of items with no more
-passages than the latent space has dimensions, so the projection is exact whatever the size of the
-benchmark, and what each task holds is bounded.  The documents are read once into word numbers per block.
+The benchmark is a stated, bounded set of queries.  The documents are read once into word numbers
+and searched once per block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pandas as pd
@@ -30,17 +36,16 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import stage, text_of
 
-WINDOW = 32
 STRIDE = 16
 RANK = 512
 SPARE = 16
-COSINE = 0.35
 SAME = 0.8
 LIKE = 0.6
 ANSWER = 5
 LEAST_WORDS = 5
 _ROWS = 2000
 _CHUNK = 256
+_REGIONS = 1024
 # ASCII letters and digits, and all that is not ASCII, make words.
 _TO_SPACE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -49,14 +54,10 @@ def words(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(_TO_SPACE).split()
 
 
-def windows(n: int) -> list[tuple[int, int]]:
-    """Start and end of the passages of ``n`` words; the last one ends with the text."""
-    if n <= WINDOW:
-        return [(0, n)] if n else []
-    starts = list(range(0, n - WINDOW + 1, STRIDE))
-    if starts[-1] + WINDOW < n:
-        starts.append(n - WINDOW)
-    return [(s, s + WINDOW) for s in starts]
+def length_class(n: int) -> int:
+    """``n`` or somewhat more, a multiple of ``STRIDE``; items of one class share their regions."""
+    step = max(STRIDE, 1 << max(n.bit_length() - 3, 0))
+    return -(-n // step) * step
 
 
 # --- the benchmark as a latent space ---------------------------------------------------
@@ -64,32 +65,30 @@ def windows(n: int) -> list[tuple[int, int]]:
 
 @dataclass
 class Index:
-    """Benchmark passages in the latent space.
+    """Benchmark items in the latent space.
 
-    ``vocabulary``: word to number.  ``idf``: weight per word, one more for words outside.
-    ``space``: words by dimensions, weighted.  ``latent``: unit rows, one per benchmark passage, of
-    item ``of`` from its word ``begin``.  ``most``: the most a word adds to a passage's product with
-    any of them.  ``items``: id and word numbers of each item.
+    ``vocabulary``: word to number.  ``space``: words by dimensions, weighted; the last row, zero,
+    is that of words outside.  ``latent``: one row per item, divided by the least product of a
+    verified copy, so that 1 is the threshold.  ``most``: the most a word adds to a product with
+    any of them.  ``items``: id and word numbers of each item.  ``classes``: length of a class and
+    its items.  ``short``: items that are searched word for word.
     """
 
     vocabulary: dict[bytes, int]
-    idf: np.ndarray
     space: np.ndarray
     latent: np.ndarray
     most: np.ndarray
-    of: np.ndarray
-    begin: np.ndarray
     items: list[tuple[int, np.ndarray]]
+    classes: list[tuple[int, np.ndarray]]
+    short: list[tuple[int, np.ndarray]]
 
 
-def _matrix(items: list[tuple[int, np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    rows, of, begin = [], [], []
-    for number, (_, ids) in enumerate(items):
-        for start, end in windows(len(ids)):
-            rows.append(ids[start:end])
-            of.append(number)
-            begin.append(start)
-    return rows, np.array(of, dtype=np.int64), np.array(begin, dtype=np.int64)
+def least_product(weights: np.ndarray) -> float:
+    """The least that the words of a verified copy weigh; ``weights``: of the item's words, squared."""
+    same = np.sort(weights)[: int(np.ceil(SAME * len(weights) - 1e-9))].sum()
+    answer, rest = weights[-ANSWER:], np.sort(weights[:-ANSWER])
+    like = answer.sum() + rest[: max(0, int(np.ceil(LIKE * len(weights) - 1e-9)) - len(answer))].sum()
+    return float(min(same, like))
 
 
 def _times(rows: list[np.ndarray], right: np.ndarray) -> np.ndarray:
@@ -153,14 +152,19 @@ def _right_space(spark: SparkSession, rows: list[np.ndarray], idf: np.ndarray, r
 def build_index(spark: SparkSession, items: list[tuple[int, np.ndarray]], vocabulary: dict[bytes, int], counts: np.ndarray, total: int, rank: int = RANK) -> Index:
     """The index of one block of items; ``counts``: documents that hold each word, of ``total``."""
     idf = np.log((total + 1.0) / (counts + 1.0)) + 0.1
-    rows, of, begin = _matrix(items)
+    short = [item for item in items if len(item[1]) < LEAST_WORDS]
+    items = [item for item in items if len(item[1]) >= LEAST_WORDS]
+    if not items:
+        empty = np.zeros((len(idf) + 1, 1), dtype=np.float32)
+        return Index(vocabulary, empty, empty[:0], empty[:, 0].astype(np.float64), items, [], short)
+    rows = [ids for _, ids in items]
     space = _right_space(spark, rows, idf, rank) * idf[:, None]
-    latent = _times(rows, space)
-    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
+    latent = _times(rows, space) / np.array([least_product(idf[ids] ** 2) for ids in rows])[:, None]
     space, latent = np.vstack([space, np.zeros(space.shape[1])]).astype(np.float32), latent.astype(np.float32)
     most = np.concatenate([(space[i : i + _ROWS] @ latent.T).max(axis=1) for i in range(0, len(space), _ROWS)])
-    idf = np.append(idf, np.log(total + 1.0) + 0.1)
-    return Index(vocabulary, idf, space, latent, np.maximum(most, 0).astype(np.float64), of, begin, items)
+    sizes = np.array([length_class(len(ids)) for ids in rows])
+    classes = [(int(size), np.flatnonzero(sizes == size)) for size in np.unique(sizes)]
+    return Index(vocabulary, space, latent, np.maximum(most, 0).astype(np.float64), items, classes, short)
 
 
 # --- verification ------------------------------------------------------------------------
@@ -190,35 +194,63 @@ def verified(item: np.ndarray, region: np.ndarray) -> tuple[float, bool] | None:
     return (share, answered) if share >= SAME or (share >= LIKE and answered) else None
 
 
+def _word_for_word(ids: np.ndarray, item: np.ndarray) -> int | None:
+    """Where the item's words first follow each other in the document."""
+    n = len(ids) - len(item) + 1
+    if n < 1:
+        return None
+    here = np.ones(n, dtype=bool)
+    for i, word in enumerate(item):
+        here &= ids[i : i + n] == word
+    return int(here.argmax()) if here.any() else None
+
+
+def candidates(ids: np.ndarray, index: Index) -> Iterator[tuple[int, int, float]]:
+    """Item number, first word of the region and cosine, for every region that may hold an item."""
+    longest = max((size for size, _ in index.classes), default=0) // STRIDE + 2
+    lengths = np.linalg.norm(index.latent, axis=1)
+    n_regions = -(-len(ids) // STRIDE)
+    for at in range(0, n_regions if index.classes else 0, _REGIONS):
+        part = ids[at * STRIDE : (at + _REGIONS + longest) * STRIDE]
+        # Each word once per stride: an item's product counts how often the item has it.
+        width = len(index.space)
+        keys = np.unique(np.arange(len(part)) // STRIDE * width + part)
+        part, edges = keys % width, np.searchsorted(keys, np.arange(-(-len(part) // STRIDE)) * width)
+        # A little is added against rounding in what the bound leaves out.
+        most = np.concatenate([[0.0], np.cumsum(np.add.reduceat(index.most[part], edges))]) * 1.001
+        starts, sums = np.arange(min(_REGIONS, n_regions - at)), None
+        for size, members in index.classes:
+            ends = np.minimum(starts + size // STRIDE + 2, len(edges))
+            likely = np.flatnonzero(most[ends] - most[starts] >= 0.999)
+            if not len(likely):
+                continue
+            if sums is None:
+                cuts = [edges[i : i + _ROWS] for i in range(0, len(edges), _ROWS)]
+                strides = np.concatenate([np.add.reduceat(index.space[part[c[0] : end]], c - c[0], axis=0) for c, end in zip(cuts, [*(c[0] for c in cuts[1:]), len(part)], strict=True)])
+                sums = np.concatenate([np.zeros((1, strides.shape[1])), np.cumsum(strides, axis=0, dtype=np.float64)])
+            folded = (sums[ends[likely]] - sums[starts[likely]]).astype(np.float32)
+            products = folded @ index.latent[members].T
+            norms = np.maximum(np.linalg.norm(folded, axis=1), 1e-12)
+            r, m = np.nonzero(products >= 0.999)
+            cosines = products[r, m] / norms[r] / lengths[members[m]]
+            yield from zip(members[m].tolist(), ((at + likely[r]) * STRIDE).tolist(), cosines.tolist(), strict=True)
+
+
 def leaks(ids: np.ndarray, index: Index) -> list[tuple[int, int, float, float, bool]]:
     """Items found in a document (word numbers): item, first word of the region, cosine, share, answered."""
-    spans = windows(len(ids))
-    if not spans:
-        return []
-    starts = np.array([s for s, _ in spans])
-    ends = np.array([e for _, e in spans])
-    # Sums over windows; a little is added against rounding in what the bound leaves out.
-    of_all, of_most = (np.concatenate([[0.0], np.cumsum(w)]) for w in (index.idf[ids] ** 2, index.most[ids]))
-    norm = np.sqrt(np.maximum(of_all[ends] - of_all[starts], 1e-12))
-    likely = np.flatnonzero((of_most[ends] - of_most[starts]) * 1.001 >= COSINE * norm)
+    found = [(item_id, _word_for_word(ids, item), 1.0, 1.0, True) for item_id, item in index.short]
+    found = [leak for leak in found if leak[1] is not None]
     best: dict[int, tuple[int, int, float, float, bool]] = {}
-    for at in range(0, len(likely), 256):
-        rows = likely[at : at + 256]
-        folded = np.stack([index.space[ids[starts[r] : ends[r]]].sum(axis=0) for r in rows])
-        cosines = (folded @ index.latent.T) / norm[rows][:, None]
-        near, passages = np.nonzero(cosines >= COSINE)
-        for i in np.argsort(-cosines[near, passages], kind="stable"):
-            r, passage = near[i], passages[i]
-            number = int(index.of[passage])
-            item_id, item = index.items[number]
+    # Items one after another, so that the likeliest region of each is verified first.
+    for number, regions in groupby(sorted(candidates(ids, index), key=lambda c: (c[0], -c[2], c[1])), key=lambda c: c[0]):
+        item_id, item = index.items[number]
+        for _, first, cosine in regions:
+            held = verified(item, ids[first : first + len(item) + 2 * STRIDE])
+            if held and (number not in best or held[0] > best[number][3]):
+                best[number] = (item_id, first, cosine, *held)
             if number in best and best[number][3] == 1.0:
-                continue
-            first = max(0, int(starts[rows[r]]) - int(index.begin[passage]) - STRIDE)
-            region = ids[first : first + len(item) + 2 * STRIDE]
-            found = verified(item, region)
-            if found and (number not in best or found[0] > best[number][3]):
-                best[number] = (item_id, first, float(cosines[r, passage]), *found)
-    return list(best.values())
+                break
+    return found + list(best.values())
 
 
 # --- over all documents ------------------------------------------------------------------
@@ -230,9 +262,8 @@ _FOUND = "doc_id long, item_id long, first_word long, cosine double, share doubl
 def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """``doc_id``, ``item_id`` and the evidence for each document that holds a benchmark item.
 
-    Items without an id, and items of fewer than ``LEAST_WORDS`` words, null and empty ones too,
-    take no part.  An id that comes with several texts stands for each of them, the pair is reported
-    once with its best evidence.  A null document text is empty; a row without a doc_id can be found
+    Items without an id and items of fewer than ``LEAST_WORDS`` words take no part.  An id that comes with several texts stands
+    for each of them, the pair is reported once with its best evidence.  A null document text is empty; a row without a doc_id can be found
     and is reported without it.  Repeated rows are reported once.  Empty tables give no rows.
     """
     spark = docs.sparkSession
@@ -240,33 +271,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Dat
     listed = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text").distinct()
     listed = [(r[0], words(r[1])) for r in listed.orderBy("item_id", "text").toLocalIterator()]
     listed = [(i, w) for i, w in listed if len(w) >= LEAST_WORDS]
+    vocabulary = {word: i for i, word in enumerate(sorted({w for _, ws in listed for w in ws}))}
+    items = [(i, np.array([vocabulary[w] for w in ws], dtype=np.int32)) for i, ws in listed]
     out = spark.createDataFrame([], _FOUND)
-    for at, block in enumerate(blocks(listed, rank)):
-        found = _block(docs, block, rank)
+    if items:
+        numbered, counts, total = _numbered(docs, vocabulary)
+    for at in range(0, len(items), rank):
+        found = _block(numbered, items[at : at + rank], counts, total)
         out = stage(out.unionByName(found) if at else found, "leaks")
     best = F.max_by(F.struct("first_word", "cosine", "share", "answered"), F.struct("share", "cosine", -F.col("first_word")))
     return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
 
-def blocks(listed: list[tuple[int, list[bytes]]], rank: int) -> Iterator[list[tuple[int, list[bytes]]]]:
-    """Items in blocks of at most ``rank`` passages; one with more passages is a block of its own."""
-    block, held = [], 0
-    for item in listed:
-        more = len(windows(len(item[1])))
-        if block and held + more > rank:
-            yield block
-            block, held = [], 0
-        block.append(item)
-        held += more
-    if block:
-        yield block
-
-
-def _block(docs: DataFrame, listed: list[tuple[int, list[bytes]]], rank: int) -> DataFrame:
-    spark = docs.sparkSession
-    vocabulary = {word: i for i, word in enumerate(sorted({w for _, ws in listed for w in ws}))}
+def _numbered(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[DataFrame, np.ndarray, int]:
+    """The documents as word numbers, how many hold each word, and how many there are."""
     outside = len(vocabulary)
-    items = [(i, np.array([vocabulary[w] for w in ws], dtype=np.int32)) for i, ws in listed]
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -289,7 +308,16 @@ def _block(docs: DataFrame, listed: list[tuple[int, list[bytes]]], rank: int) ->
     counted = numbered.select("ids").mapInPandas(count, "word int, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(outside + 1, dtype=np.float64)
     counts[counted["word"]] = counted["n"]
-    index = build_index(spark, items, vocabulary, counts[:-1], int(counts[-1]), max(rank, len(_matrix(items)[0])))
+    return numbered, counts[:-1], int(counts[-1])
+
+
+def _block(numbered: DataFrame, items: list[tuple[int, np.ndarray]], counts: np.ndarray, total: int) -> DataFrame:
+    """What the documents hold of one block of items, whose words are numbered anew."""
+    held = np.unique(np.concatenate([ids for _, ids in items]))
+    place = np.full(len(counts) + 1, len(held), dtype=np.int32)
+    place[held] = np.arange(len(held))
+    items = [(i, place[ids]) for i, ids in items]
+    index = build_index(numbered.sparkSession, items, {}, counts[held], total, len(items))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [field.split()[0] for field in _FOUND.split(", ")]
@@ -297,7 +325,7 @@ def _block(docs: DataFrame, listed: list[tuple[int, list[bytes]]], rank: int) ->
             rows = [
                 (doc_id, *leak)
                 for doc_id, ids in zip(batch["doc_id"], batch["ids"], strict=True)
-                for leak in leaks(np.frombuffer(ids, "<i4"), index)
+                for leak in leaks(place[np.frombuffer(ids, "<i4")], index)
             ]
             if rows:
                 yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})

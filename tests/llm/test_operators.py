@@ -631,3 +631,17 @@ def test_verbatim_copies_are_found_in_large_benchmarks(spark):
     benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     got = decontaminate.contaminated(docs_of(spark, rows), benchmark)
     assert {tuple(r) for r in got.select("doc_id", "item_id").collect()} >= {(i, i * 7) for i in range(60)}
+
+
+@pytest.mark.parametrize("total", [10_000, 300_000, 3_000_000])
+def test_recall_does_not_fall_with_the_documents(spark, total):
+    rng = np.random.default_rng(9)
+    items = [(i, rng.integers(0, 400, int(n)).astype(np.int32)) for i, n in enumerate(rng.integers(12, 60, 60))]
+    # The words' counts grow with the corpus, words outside the benchmark are number 400.
+    index = decontaminate.build_index(spark, items, {str(i).encode(): i for i in range(400)}, total * rng.uniform(0.0005, 0.3, 400), total)
+    for i, item in items:
+        keep = np.sort(rng.permutation(len(item) - 5)[: int(np.ceil(0.65 * len(item))) - 5])
+        copy = np.full(len(item), 400, dtype=np.int32)
+        copy[keep], copy[-5:] = item[keep], item[-5:]
+        body = np.concatenate([np.full(int(rng.integers(0, 90)), 400, dtype=np.int32), copy, np.full(37, 400, dtype=np.int32)])
+        assert i in [leak[0] for leak in decontaminate.leaks(body, index)]
