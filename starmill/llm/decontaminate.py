@@ -262,7 +262,7 @@ _FOUND = "doc_id long, item_id long, first_word long, cosine double, share doubl
 def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """``doc_id``, ``item_id`` and the evidence for each document that holds a benchmark item.
 
-    Items without an id and items of fewer than ``LEAST_WORDS`` words take no part.  An id that comes with several texts stands
+    Items without an id or without a word take no part.  An id that comes with several texts stands
     for each of them, the pair is reported once with its best evidence.  A null document text is empty; a row without a doc_id can be found
     and is reported without it.  Repeated rows are reported once.  Empty tables give no rows.
     """
@@ -270,7 +270,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Dat
     # The benchmark is the stated query set; its blocks bound what is held at a time.
     listed = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long"), "text").distinct()
     listed = [(r[0], words(r[1])) for r in listed.orderBy("item_id", "text").toLocalIterator()]
-    listed = [(i, w) for i, w in listed if len(w) >= LEAST_WORDS]
+    listed = [(i, w) for i, w in listed if w]
     vocabulary = {word: i for i, word in enumerate(sorted({w for _, ws in listed for w in ws}))}
     items = [(i, np.array([vocabulary[w] for w in ws], dtype=np.int32)) for i, ws in listed]
     out = spark.createDataFrame([], _FOUND)

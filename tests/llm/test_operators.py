@@ -645,3 +645,15 @@ def test_recall_does_not_fall_with_the_documents(spark, total):
         copy[keep], copy[-5:] = item[keep], item[-5:]
         body = np.concatenate([np.full(int(rng.integers(0, 90)), 400, dtype=np.int32), copy, np.full(37, 400, dtype=np.int32)])
         assert i in [leak[0] for leak in decontaminate.leaks(body, index)]
+
+
+def test_items_at_the_end_and_short_ones(spark):
+    rng = np.random.default_rng(10)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(3000)]
+    prose = lambda n: [str(w) for w in rng.choice(vocabulary, n)]
+    items = [prose(n) for n in range(2, 16)]
+    rows = [(100 * pad + i, " ".join(prose(pad) + item)) for i, item in enumerate(items) for pad in (0, 27, 40, 64, 75)]
+    rows.append((9000, " ".join([*prose(9), items[2][0], "other", *items[2][1:], *prose(9)])))
+    benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    got = decontaminate.contaminated(docs_of(spark, rows), benchmark)
+    assert {tuple(r) for r in got.select("doc_id", "item_id").collect()} == {(i, i % 100) for i, _ in rows if i < 9000}
