@@ -25,15 +25,37 @@ CYCLE, DAY_RADIX = 146097, (189, 773)
 #: A date stays within its cycle; one begins on the first day of 1800, this many days before 1970.
 BEFORE_1970 = 62091
 
+#: Lengths of IBANs by country, those in use without being registered included.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD", 28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, countries: str) -> str:
+    """An IBAN of a known length, in groups of four or in one."""
+    whole, rest = divmod(length - 4, 4)
+    last = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{whole}}}{last}"
+
+
+_IBANS = "|".join(_iban(*known) for known in IBAN_LENGTHS.items())
+_COUNTRIES = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+
 PATTERN = "|".join(
     (
         r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?:{_IBANS})(?![A-Za-z0-9])",
+        # Other countries and lengths; what follows may be an IBAN of a known length.
+        rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?: ?(?!(?<= )(?:{_COUNTRIES})[0-9]{{2}})[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9])",
         r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
         r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})(?![0-9]|[./-][0-9])",
         r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
         r"(?<![0-9+])(?:\+1[ .-]?)?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])",
-        r"(?<![0-9+])\+[0-9]{1,3}(?:[ .-]?\(?[0-9]{2,4}\)?){2,5}(?![0-9])",
+        r"(?<![0-9+])\+[0-9](?:[ .-]?\(?[0-9]\)?){7,14}(?![0-9])",
         r"(?<![0-9(])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9]|[.-][0-9])",
         r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])",
     )

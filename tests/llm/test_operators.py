@@ -657,3 +657,20 @@ def test_items_at_the_end_and_short_ones(spark):
     benchmark = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
     got = decontaminate.contaminated(docs_of(spark, rows), benchmark)
     assert {tuple(r) for r in got.select("doc_id", "item_id").collect()} == {(i, i % 100) for i, _ in rows if i < 9000}
+
+
+@pytest.mark.parametrize(
+    "before,value,after,kind",
+    [
+        ("", "BE68 5390 0754 7034", " EUR 500", "iban"),
+        ("", "ES9121000418450200051332", " BIC CAIXESBB", "iban"),
+        ("REF AB12 CDEF ", "DE89 3704 0044 0532 0130 00", " SWIFT COBADEFF", "iban"),
+        ("call ", "+33 6 12 34 56 78", " now", "phone"),
+        ("call ", "+61 2 9374 4000", ".", "phone"),
+        ("call ", "+49 (0) 30 123456", "", "phone"),
+    ],
+)
+def test_pseudonyms_of_values_among_words(spark, before, value, after, kind):
+    row = pseudonyms.pseudonymise(docs_of(spark, [(1, before + value + after)])).first()
+    assert row[f"n_{kind}"] == 1 and value not in row.text
+    assert row.text.startswith(before) and row.text.endswith(after) and len(row.text) == len(before + value + after)
