@@ -4,7 +4,8 @@ Base matches come from three patterns.  Beyond them, long base64 and hexadecimal
 blocks and dotted tokens are candidates only: they are decoded and reported when what they hold
 has the structure of a key or a signed token.  A key is DER (nested lengths that fill their
 parents exactly, and the fields of a private key) or the length-prefixed private key format of
-SSH.  A signed token has a JSON header that names its algorithm and a JSON object as payload.
+SSH.  Base64 that is wrapped over lines is joined, and base64 of an armoured block is decoded twice.
+A signed token has a JSON header that names its algorithm and a JSON object as payload.
 """
 
 from __future__ import annotations
@@ -36,6 +37,12 @@ _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _LONG_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
 _SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]+")
 _SSH_MAGIC = b"openssh-key-v1\x00"
+# Runs of base64, one a line, the first of them long; breaks may be escaped.
+_BREAK = r"(?:\\[rn]|[\r\n])+[ \t]*"
+_LINES = re.compile(rf"[A-Za-z0-9+/_-]{{40,}}(?:{_BREAK}[A-Za-z0-9+/_-]+)*={{0,2}}")
+_LINE = re.compile(rf"(?:{_BREAK})?([A-Za-z0-9+/_=-]+)")
+# What base64 of an armour's first line holds, at each of the three places in a group of bytes.
+_ARMOURED = re.compile("|".join(base64.b64encode(b"x" * i + b"-----BEGIN ").decode()[(0, 2, 3)[i] : -4] for i in range(3)))
 
 
 def decoded(text: str) -> bytes | None:
@@ -108,10 +115,10 @@ def _names_algorithm(data: bytes, part: tuple[int, int, int]) -> bool:
     return bool(inner) and inner[0][0] == 0x06
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """The private key format of SSH: magic, three strings, a count, then that many keys and one secret part."""
+def ssh_end(data: bytes) -> int | None:
+    """Where a private key of SSH ends: magic, three strings, a count, then that many keys and one secret part."""
     if not data.startswith(_SSH_MAGIC):
-        return False
+        return None
     at = len(_SSH_MAGIC)
 
     def string() -> bytes | None:
@@ -123,10 +130,14 @@ def is_ssh_key(data: bytes) -> bool:
         return data[at - size : at]
 
     if any(string() is None for _ in range(3)) or at + 4 > len(data):
-        return False
+        return None
     keys = int.from_bytes(data[at : at + 4], "big")
     at += 4
-    return 1 <= keys <= 16 and all(string() is not None for _ in range(keys + 1))
+    return at if 1 <= keys <= 16 and all(string() is not None for _ in range(keys + 1)) else None
+
+
+def is_ssh_key(data: bytes) -> bool:
+    return ssh_end(data) is not None
 
 
 def is_signed_token(text: str) -> bool:
@@ -157,12 +168,73 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
-def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
+def armoured_spans(text: str) -> list[tuple[int, int]]:
     found = []
     for m in _ARMOUR.finditer(text):
         data = decoded(re.sub(r"\\[nr]|\s", "", m[2]))
         if data and (is_der_key(data) or is_ssh_key(data)):
-            found.append(("armour", *m.span()))
+            found.append(m.span())
+    return found
+
+
+def _leading(chars: str) -> bytes:
+    """Bytes of the whole groups of four characters."""
+    return decoded(chars[: len(chars) // 4 * 4]) or b""
+
+
+def _held(runs: list[str], at: int) -> tuple[str, int] | None:
+    """Kind and end in bytes of the key that the lines of base64 from ``at`` begin with or hold armoured."""
+    if runs[at][0] == "M" and len(runs) > at + 1:
+        # Its first bytes say how long it is; no more lines are joined than that.
+        start = _leading("".join(runs[at : at + 4])[:16])
+        top = _element(start, 0, 1 << 32) if len(start) == 12 else None
+        chars, line = "", at
+        while top and len(chars) * 3 < top[2] * 4 and line < len(runs):
+            taken = runs[line : line + 64]
+            chars, line = chars + "".join(taken), line + len(taken)
+        data = decoded(chars[: -(-top[2] * 4 // 3)]) if top else None
+        if data and is_der_key(data):
+            return "der", top[2]
+    if runs[at].startswith("b3BlbnNzaC1rZXktdjE") and len(runs) > at + 1:
+        chars = "".join(runs[at:])
+        if end := ssh_end(decoded(chars) or _leading(chars)):
+            return "ssh", end
+    if _ARMOURED.search("".join(runs[at : at + 2])):
+        chars = "".join(runs[at:])
+        spans = armoured_spans((decoded(chars) or _leading(chars)).decode("latin-1"))
+        return ("armour", max(end for _, end in spans)) if spans else None
+    return None
+
+
+def wrapped_spans(text: str) -> list[tuple[str, int, int]]:
+    """Keys in base64 over several lines, and armoured blocks in base64 of any number of lines."""
+    found = []
+    for m in _LINES.finditer(text):
+        lines = [line.span(1) for line in _LINE.finditer(text, m.start(), m.end())]
+        runs = [text[start:end].rstrip("=") for start, end in lines]
+        at = 0
+        while at < len(lines):
+            held = _held(runs, at)
+            last = at
+            if held:
+                need = -(-held[1] * 4 // 3) - len(runs[at])
+                while need > 0 and last + 1 < len(lines):
+                    last += 1
+                    need -= len(runs[last])
+                # A bare key ends with its last line, and one on a single line is found as such.
+                if held[0] == "armour" or (last > at and need == 0):
+                    found.append((held[0], lines[at][0], lines[last][1]))
+                else:
+                    last = at
+            at = last + 1
+    return found
+
+
+def confirmed_spans(text: str) -> list[tuple[str, int, int]]:
+    armoured = armoured_spans(text)
+    found = [("armour", *span) for span in armoured]
+    # The lines within an armour are reported with it.
+    found += [w for w in wrapped_spans(text) if not any(start <= w[1] and w[2] <= end for start, end in armoured)]
     for m in _BASE64.finditer(text):
         if m[0][0] in "Mb" and (data := decoded(m[0])):
             if is_der_key(data):

@@ -674,3 +674,19 @@ def test_pseudonyms_of_values_among_words(spark, before, value, after, kind):
     row = pseudonyms.pseudonymise(docs_of(spark, [(1, before + value + after)])).first()
     assert row[f"n_{kind}"] == 1 and value not in row.text
     assert row.text.startswith(before) and row.text.endswith(after) and len(row.text) == len(before + value + after)
+
+
+PEM = "-----BEGIN RSA PRIVATE KEY-----\n" + base64.encodebytes(KEY).decode() + "-----END RSA PRIVATE KEY-----\n"
+
+
+def folded(data, width, at="\n"):
+    run = base64.b64encode(data).decode()
+    return at.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+@pytest.mark.parametrize("data,kind", [(folded(PEM.encode(), 10_000), "armour"), (folded(PEM.encode(), 76, "\n    "), "armour"), (folded(b"\n" + PEM.encode(), 10_000), "armour"), (folded(b"# " + PEM.encode(), 64), "armour"), (folded(KEY, 64), "der"), (folded(KEY, 76, "\r\n  "), "der"), (folded(KEY, 64, "\\n"), "der"), (folded(ssh_key(), 70), "ssh"), (folded(KEY[:-1], 64), None), (folded(b"M" * 600, 64), None)])
+def test_wrapped_and_twice_encoded_keys(data, kind):
+    for end in ("", "\nNext line", "\n\nword\n"):
+        text = f"key: {data}{end}"
+        found = secrets.confirmed_spans(text)
+        assert found == ([(kind, 5, 5 + len(data))] if kind else [])
