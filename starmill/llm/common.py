@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from starmill.sources.tables import run_folder, stage
 
-__all__ = ["by_row", "read", "run_folder", "stage", "text_of"]
+__all__ = ["ROW", "by_row", "read", "run_folder", "stage", "text_of", "with_row_key"]
+
+#: Column that names a row among others of the same doc_id.
+ROW = "__row"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +25,11 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for each row, stored, so that a recomputed task gives the same."""
+    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def by_row(work: Callable[[pd.DataFrame], Iterator[tuple]], names: list[str]) -> Callable:
     """A mapInPandas function: ``work`` turns one batch into rows, which are given in small frames."""
 

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.common import stage, text_of
+from starmill.llm.common import ROW, stage, text_of, with_row_key
 
 STRIDE = 16
 RANK = 512
@@ -334,6 +334,7 @@ def _block(numbered: DataFrame, items: list[tuple[int, np.ndarray]], counts: np.
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a benchmark item."""
-    found = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    """The rows of ``docs`` without a benchmark item; each row stands for itself, whatever its doc_id."""
+    rows = with_row_key(docs)
+    found = contaminated(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(found, ROW, "left_anti").select(*docs.columns)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.common import stage, text_of
+from starmill.llm.common import ROW, stage, text_of, with_row_key
 
 MOST_BITS = 2
 LEAST_BYTES = 6
@@ -197,16 +197,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one document of each group: the one with the smallest doc_id.
+    """The rows of ``docs`` with one row of each group: the one with the smallest doc_id.
 
-    A doc_id that comes in several rows keeps one of them.  Rows without a doc_id have no
-    name to be kept under; one row stays for each group that has no doc_id at all.
+    Each row stands for itself: rows of one doc_id with different texts stay, one for each group.
+    Rows without a doc_id come last; one stays for each group that has no doc_id at all.
     """
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fingerprint")
-    counted = kept.groupBy("doc_id").agg(F.count("*").alias("n"))
-    rows = docs.join(counted, docs["doc_id"].eqNullSafe(counted["doc_id"])).select(*[docs[c] for c in docs.columns], "n")
-    single = rows.where((F.col("n") == 1) & F.col("doc_id").isNotNull()).select(*docs.columns)
-    repeated = rows.where((F.col("n") > 1) | F.col("doc_id").isNull()).select(*docs.columns)
-    known = repeated.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    unknown = repeated.where("doc_id IS NULL").dropDuplicates(["text"])
-    return single.unionByName(known).unionByName(unknown)
+    rows = with_row_key(docs)
+    classes = near_duplicates(rows.select(ROW, "text"), ROW).select(ROW, F.col("component_id").alias("__group"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.col(ROW))
+    named = rows.select("doc_id", ROW, order.alias("__order")).join(classes, ROW)
+    kept = named.groupBy("__group").agg(F.min_by(ROW, "__order").alias(ROW)).select(ROW)
+    return rows.join(kept, ROW, "left_semi").select(*docs.columns)

@@ -690,3 +690,14 @@ def test_wrapped_and_twice_encoded_keys(data, kind):
         text = f"key: {data}{end}"
         found = secrets.confirmed_spans(text)
         assert found == ([(kind, 5, 5 + len(data))] if kind else [])
+
+
+def test_stages_decide_by_row(spark):
+    leak = "one item of the benchmark that a document holds word for word"
+    clean = [" ".join(f"{a}{b}{c}" for b in "aeiou" for c in "bdfg") for a in "ptk"]
+    docs = docs_of(spark, [(None, leak), (None, clean[0]), (7, leak), (7, clean[1]), (7, clean[2]), (8, clean[2])])
+    kept = decontaminate.keep_clean(docs, spark.createDataFrame([(1, leak)], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert rows_of(kept, "doc_id", "text") == Counter({(None, clean[0]): 1, (7, clean[1]): 1, (7, clean[2]): 1, (8, clean[2]): 1})
+    kept = simhash.one_of_each(docs)
+    assert rows_of(kept, "doc_id", "text") == Counter({(7, leak): 1, (None, clean[0]): 1, (7, clean[1]): 1, (7, clean[2]): 1})
