@@ -6,8 +6,9 @@ a logistic regression is trained on features scaled by these ratios.  Only featu
 ``LEAST_TEXTS`` texts, and of these the ``MOST_FEATURES`` whose share among toxic texts lies the
 most standard deviations off, get a weight, so the model is small and each task holds all of it.
 
-Training takes a bounded sample of the labelled rows: up to ``SAMPLE`` of each label, those with
-the smallest hashes of their ids, weighted to the shares the labels have over all training rows.
+Ratios and features are taken from all labelled texts, one for each distinct doc_id and text.  The
+regression takes a bounded sample of them: up to ``SAMPLE`` texts of each label, those with the
+smallest hashes, weighted to the shares the labels have over all training rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from starmill.llm.common import stage, text_of
 
 ORDERS = (4, 5, 6)
 BITS = 22
-SAMPLE = 1500
+SAMPLE = 2000
 LEAST_TEXTS = 3
 MOST_FEATURES = 1 << 12
 FOLDS = 5
@@ -115,7 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of ``labels.toxic`` (0 or 1) from the texts of ``docs``, on the training rows.
 
     Rows whose label is null take no part; of several labels of one document the largest holds.
-    A document that comes in several rows is a training text in each.  Without labels of both
+    A document that comes in several rows is one training text for each of its texts.  Without labels
+    of both
     kinds the model scores every text with the share of label 1 (one half without any label).
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
@@ -124,16 +126,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     total = sum(counts.values())
     if not total:
         return Model(np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.float32), 0.0)
-    order = (F.xxhash64("doc_id"), "doc_id")
-    chosen = known.where("toxic = 1").orderBy(*order).limit(sample).unionByName(
-        known.where("toxic = 0").orderBy(*order).limit(sample)
+    rows = docs.select("doc_id", text_of().alias("text")).join(known, "doc_id").distinct()
+    training = stage(rows.withColumn("digest", F.sha2("text", 256)), "toxic-training")
+    texts_of = dict(training.groupBy("toxic").count().collect())
+    order = (F.xxhash64("doc_id", "digest"), "doc_id", "digest")
+    named = training.select("doc_id", "digest", "toxic")
+    chosen = named.where("toxic = 1").orderBy(*order).limit(sample).unionByName(
+        named.where("toxic = 0").orderBy(*order).limit(sample)
     )
 
     # Features are counted and chosen by Spark; the driver sees the chosen ones alone.
-    texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
-    ones, zeros = min(counts.get(1, 0), sample), min(counts.get(0, 0), sample)
-    mean = ones / (ones + zeros)
-    held = texts.mapInPandas(_count, "feature long, n1 long, n0 long").groupBy("feature").agg(
+    ones, zeros = texts_of.get(1, 0), texts_of.get(0, 0)
+    mean = ones / max(ones + zeros, 1)
+    held = training.select("text", "toxic").mapInPandas(_count, "feature long, n1 long, n0 long").groupBy("feature").agg(
         F.sum("n1").alias("n1"), F.sum("n0").alias("n0")
     )
     expected = (F.col("n1") + F.col("n0")) * mean
@@ -151,7 +156,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             found = [_hits(text, wanted).astype("<u4").tobytes() for text in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "features": found})
 
-    rows = texts.mapInPandas(extract, "doc_id long, toxic int, features binary").toPandas()
+    texts = training.join(F.broadcast(chosen.select("doc_id", "digest")), ["doc_id", "digest"], "left_semi")
+    rows = texts.select("doc_id", "toxic", "text").mapInPandas(extract, "doc_id long, toxic int, features binary").toPandas()
     # The order of the rows must not decide the last digits of the weights.
     rows = rows.sort_values(["doc_id", "features"], kind="stable")
     found = [np.frombuffer(f, dtype="<u4") for f in rows["features"]]

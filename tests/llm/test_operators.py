@@ -701,3 +701,15 @@ def test_stages_decide_by_row(spark):
     assert rows_of(kept, "doc_id", "text") == Counter({(None, clean[0]): 1, (7, clean[1]): 1, (7, clean[2]): 1, (8, clean[2]): 1})
     kept = simhash.one_of_each(docs)
     assert rows_of(kept, "doc_id", "text") == Counter({(7, leak): 1, (None, clean[0]): 1, (7, clean[1]): 1, (7, clean[2]): 1})
+
+
+def test_toxicity_sample_is_bounded_by_rows(spark, monkeypatch):
+    rows = [(i, f"text {i} " + ("bad" if i % 2 else "good")) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    one, two = (toxicity.train(docs_of(spark, r), labels) for r in (rows, rows + 40 * [rows[1], rows[2], rows[3]]))
+    assert one.bias == two.bias and (one.features == two.features).all() and (one.weights == two.weights).all()
+    sizes, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *given: sizes.append(len(given[2])) or fit(*given))
+    many = [(i % 60, f"text {i} " + ("bad" if i % 2 else "good")) for i in range(600)]
+    toxicity.train(docs_of(spark, many), labels, sample=10)
+    assert sizes == [20] and toxicity.SAMPLE == 2000
