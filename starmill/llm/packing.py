@@ -4,8 +4,8 @@ A document's ids end with an end id.  Whole sequences are cut off its front; wha
 every shorter document, is an item.  Items count by length class (``UNIT`` tokens wide), and this
 histogram, at most length / UNIT numbers, is all that reaches the driver.  There a linear program
 over patterns (how many items of each class share a sequence) is solved by column generation: a
-knapsack by dynamic programming prices new patterns with the classes' dual values until no pattern
-improves the bound by ``GAP``.  The rounded-down patterns are used as often as the solution says, the
+knapsack by dynamic programming prices new patterns with the classes' dual values until the total is
+within ``GAP`` of its bound.  The rounded-down patterns are used as often as the solution says, the
 few items left over are packed best fit decreasing.  Documents are ranked within their class, and
 a rank finds its sequence and its place by position in the list of patterns.
 """
@@ -27,7 +27,8 @@ LENGTH = 4096
 UNIT = 8
 END_ID = 2
 GAP = 2e-3
-ROUNDS = 12
+#: Patterns that one round of the linear program adds at most.
+POOL = 64
 
 
 # --- tokens ----------------------------------------------------------------------------
@@ -70,11 +71,14 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 # --- cutting stock -----------------------------------------------------------------------
 
 
-def _best_pattern(values: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the most valuable multiset of widths within ``capacity``.  ``widths`` ascend."""
+def _knapsack(values: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack for every room up to ``capacity``: the worth, and the class put in last (-1: none).
+
+    ``widths`` ascend.
+    """
     best = np.zeros(capacity + 1)
     last = np.full(capacity + 1, -1)
-    fits = np.searchsorted(widths, np.arange(capacity + 1), side="right")
+    fits = np.searchsorted(widths, np.arange(capacity + 1), side="right").tolist()
     for room in range(1, capacity + 1):
         best[room] = best[room - 1]
         n = fits[room]
@@ -83,52 +87,129 @@ def _best_pattern(values: np.ndarray, widths: np.ndarray, capacity: int) -> tupl
             i = int(worth.argmax())
             if worth[i] > best[room] + 1e-12:
                 best[room], last[room] = worth[i], i
+    return best, last
+
+
+def _filled(last: list[int], widths: list[int], room: int) -> np.ndarray:
+    """How many of each class the knapsack puts in ``room``."""
     counts = np.zeros(len(widths), dtype=np.int64)
-    room = capacity
     while room > 0:
         if last[room] < 0:
             room -= 1
         else:
             counts[last[room]] += 1
             room -= widths[last[room]]
-    return float(best[capacity]), counts
+    return counts
 
 
-def linear_program(widths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (rows) and how often each is used, fractions included: as few sequences as the bound allows.
+def _best_pattern(values: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The most valuable multiset of widths within ``capacity``."""
+    best, last = _knapsack(values, widths, capacity)
+    return float(best[capacity]), _filled(last.tolist(), widths.tolist(), capacity)
+
+
+def _best_patterns(values: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
+    """The worth of the best pattern, and for each class the best pattern that holds one of it."""
+    best, last = _knapsack(values, widths, capacity)
+    last, sizes = last.tolist(), widths.tolist()
+    found = np.array([_filled(last, sizes, capacity - size) for size in sizes])
+    found[np.arange(len(sizes)), np.arange(len(sizes))] += 1
+    return float(best[capacity]), found
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By elimination.  The driver's process calls no threaded linear algebra, which may hang there."""
+    n = len(matrix)
+    both = np.hstack([matrix.astype(np.float64), np.eye(n)])
+    for i in range(n):
+        j = i + int(np.abs(both[i:, i]).argmax())
+        both[[i, j]] = both[[j, i]]
+        both[i] /= both[i, i]
+        factors = both[:, i].copy()
+        factors[i] = 0
+        both -= factors[:, None] * both[i]
+    return both[:, n:]
+
+
+def _first_basis(widths: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A pattern (column) for each class and how often it is used: the widest left first, then what fits.
+
+    Each pattern is used until a class of it is exhausted, and stands in that class's place.  Later
+    patterns hold none of that class, so the columns are independent.
+    """
+    n = len(widths)
+    left = demand.copy()
+    patterns, used = np.zeros((n, n), dtype=np.int64), np.zeros(n)
+    open_classes = list(range(n - 1, -1, -1))
+    sizes = widths.tolist()
+    while open_classes:
+        counts, room = {}, capacity
+        for i in open_classes:
+            if sizes[i] <= room:
+                counts[i], room = divmod(room, sizes[i])
+        out = min(counts, key=lambda i: left[i] / counts[i])
+        times = left[out] / counts[out]
+        for i, count in counts.items():
+            patterns[i, out] = count
+            left[i] = max(left[i] - times * count, 0.0)
+        used[out] = times
+        open_classes.remove(out)
+    return patterns, used
 
-    Demands get small seeded shares on top, else equal ratios could exchange the same patterns
-    for ever.  After ``ROUNDS`` rounds per class the patterns found so far stand; they cover the
-    demand at any time, so nothing but a little room hangs on it.
+
+def linear_program(widths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns (rows) and how often each is used, fractions included: within ``gap`` of the fewest.
+
+    Any dual values over the worth of the best pattern for them bound the optimum from below; the
+    best bound so far is kept, with the values that gave it.  It begins with what the widths alone
+    need.  The first basis fills sequences with the widest first.  Each round prices two points, the
+    present values and the middle between them and the best ones, which swings less, and takes
+    from both the ``POOL`` best patterns that hold this or that class; the basis changes until none of
+    them improves it.  The end is a total within ``gap`` of the bound, or within half a
+    sequence, or a bound that says that nothing improves; each round improves, so it comes.
+
+    Demands get small seeded shares on top, else equal ratios could exchange the same patterns for
+    ever.
     """
     n = len(widths)
     demand = demand + np.random.default_rng(1).random(n) * 1e-2
-    patterns = np.diag(capacity // widths).astype(np.int64)  # column j: pattern of basis place j
-    inverse = np.diag(1.0 / np.diag(patterns))
-    used = inverse @ demand
-    rounds = 0
+    patterns, used = _first_basis(widths, demand, capacity)  # column j: pattern of basis place j
+    if used.sum() <= (demand * widths).sum() / capacity * (1 + gap):
+        return patterns.T, used
+    inverse = _inverse(patterns)
+    bound, centre = float((demand * widths).sum()) / capacity, widths / capacity
+    changes = 0
     while True:
         values = inverse.sum(axis=0)
-        worth, pattern = _best_pattern(values, widths, capacity)
-        # values / worth is dual feasible, so the optimum is at least the present total / worth.
-        # Less than half a sequence to gain is nothing to gain either.
-        if worth <= 1 + max(gap, 0.5 / max(used.sum(), 1.0)) or rounds >= ROUNDS * n:
+        worth, found = _best_patterns(values, widths, capacity)
+        total = float(used.sum())
+        level = float((demand * values).sum()) / worth
+        if level > bound:
+            bound, centre = level, values / worth
+        if worth <= 1 + 1e-9 or total <= bound * (1 + gap) or total - bound < 0.5:
             break
-        direction = inverse @ pattern
-        rising = direction > 1e-9
-        ratios = np.full(n, np.inf)
-        ratios[rising] = np.maximum(used[rising], 0) / direction[rising]
-        out = int(ratios.argmin())
-        used = used - ratios[out] * direction
-        used[out] = ratios[out]
-        patterns[:, out] = pattern
-        pivot = inverse[out] / direction[out]
-        inverse -= np.outer(direction, pivot)
-        inverse[out] = pivot
-        rounds += 1
-        if rounds % 200 == 0:  # rounding errors must not add up
-            inverse = np.linalg.inv(patterns.astype(np.float64))
-            used = inverse @ demand
+        found = np.unique(np.vstack([found, _best_patterns((values + centre) / 2, widths, capacity)[1]]), axis=0)
+        pool = found[np.argsort(-(found * values).sum(axis=1), kind="stable")[:POOL]]
+        while True:
+            gains = (pool * inverse.sum(axis=0)).sum(axis=1)
+            pattern = pool[int(gains.argmax())]
+            if gains.max() <= 1 + 1e-9:
+                break
+            direction = (inverse * pattern).sum(axis=1)
+            rising = direction > 1e-9
+            ratios = np.full(n, np.inf)
+            ratios[rising] = np.maximum(used[rising], 0) / direction[rising]
+            out = int(ratios.argmin())
+            used = used - ratios[out] * direction
+            used[out] = ratios[out]
+            patterns[:, out] = pattern
+            pivot = inverse[out] / direction[out]
+            inverse -= direction[:, None] * pivot
+            inverse[out] = pivot
+            changes += 1
+            if changes % 500 == 0:  # rounding errors must not add up
+                inverse = _inverse(patterns)
+                used = (inverse * demand).sum(axis=1)
     return patterns.T, np.maximum(used, 0)
 
 
