@@ -11,6 +11,8 @@ from starmill.llm import (
     decontaminate,
     extract,
     flatfiles,
+    middle,
+    mixing,
     packing,
     pseudonyms,
     secrets,
@@ -18,6 +20,7 @@ from starmill.llm import (
     topk,
     toxicity,
     warc,
+    whitening,
 )
 from starmill.llm.common import read
 
@@ -67,6 +70,18 @@ def op10_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_block_tree_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.digest(middle.transform(read(spark, sf_dir, "documents")))
+
+
+def op12_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_separator_scan,
         op9_warc_derivatives,
         op10_latent_decontamination,
+        op11_block_tree_middle,
+        op12_systematic_mix,
+        op13_block_whitening,
     )
 }
 
@@ -99,4 +117,58 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_block_tree_middle": """
+        WITH texts AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+        ), drawn AS (
+            SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n,
+                CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+                CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+            FROM texts
+        ), cut AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                     WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), made AS (
+            SELECT *, CASE form WHEN 'plain' THEN text
+                WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+                ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a) END AS output
+            FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+            sha256(output) AS output_sha256, sha256(text) AS restored_sha256
+        FROM made
+    """,
+    "op12_systematic_mix": """
+        WITH sized AS (
+            SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents
+        ), sources AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) - 1 AS place
+            FROM sized GROUP BY source
+        ), weighed AS (
+            SELECT *, CASE place % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 3 * source_size AS most FROM sources
+        ), filled AS (
+            SELECT *, row_number() OVER by_ratio AS k,
+                (sum(source_size) OVER () - coalesce(sum(most) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+            FROM weighed
+            WINDOW by_ratio AS (ORDER BY most / weight, place),
+                before AS (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), found AS (
+            SELECT arg_min(level, k) AS level FROM filled WHERE level * weight <= most
+        ), aims AS (
+            SELECT w.source, w.source_size, least(CAST(w.most AS DOUBLE), f.level * w.weight) AS target,
+                CAST('0x' || substr(sha256('1:' || coalesce(w.source, '')), 1, 8) AS BIGINT) % 1073741824 AS first
+            FROM weighed w, found f
+        ), each AS (
+            SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size * 1073741824 + 0.5) AS BIGINT) ELSE 0 END AS expected FROM aims
+        ), summed AS (
+            SELECT d.doc_id, d.source, d.size, e.source_size, e.target, e.expected,
+                e.first + CAST(e.expected AS HUGEINT) * (row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS FIRST) - 1) AS before
+            FROM sized d JOIN each e ON d.source IS NOT DISTINCT FROM e.source
+        ), crossed AS (
+            SELECT *, CAST((before + expected) // 1073741824 - before // 1073741824 AS BIGINT) AS copies FROM summed
+        )
+        SELECT doc_id, source, size, source_size, target, copies, CAST(copies * size AS BIGINT) AS taken FROM crossed
+    """,
 }
