@@ -221,7 +221,7 @@ def test_whitening_of_embeddings(spark, sf_dir):
 def test_whitening_with_copies_and_many_blocks(spark):
     rng = np.random.default_rng(2)
     spread = rng.normal(size=(6, 6)) * np.array([5, 3, 2, 1, 0.5, 0.1])
-    vectors = [(i, (rng.normal(size=6) @ spread).tolist()) for i in range(300)] + [(1000 + i, [1.5, -2, 0, 0, 1, 1]) for i in range(200)]
+    vectors = [(i, (rng.normal(size=6) @ spread).tolist()) for i in range(300)] + [(1000 + i, [1.5, -2.0, 0.0, 0.0, 1.0, 1.0]) for i in range(200)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(5).withColumn("component", F.lit(9)).withColumn("x", F.lit("y"))
     check_whiten(whitening.whiten(df, rows_per_block=16).collect(), vectors)
 
