@@ -396,6 +396,16 @@ ORACLES["extract_skills_postings"] = with_raw(
 ORACLES["batch_dedup"] = BATCH
 ORACLES["history_merge"] = keep_last(RUNS)
 ORACLES["history_merge_incremental"] = keep_last(RUNS)
+ORACLES["history_buckets"] = keep_last(RUNS)
+ORACLES["reconciliation"] = "".join(
+    f"{' UNION ALL ' if run > 1 else ''}SELECT {run}::BIGINT AS run, count(*) AS written, count(*) AS read_back, "
+    f"true AS same_content FROM ({keep_last(f'SELECT * FROM ({RUNS}) WHERE ingest_run <= {run}')})"
+    for run in (1, 2)
+)
+ORACLES["landing_rejects"] = (
+    "SELECT file, CASE WHEN file % 3 = 1 THEN 0 ELSE count(*) END AS postings, file % 3 = 1 AS rejected "
+    f"FROM (SELECT ingest_seq // 500 AS file FROM ({fixtures.landing_sql()})) GROUP BY file"
+)
 ORACLES["history_backfill"] = keep_last(
     f"SELECT * REPLACE (CASE WHEN ingest_run = 1 THEN salary END AS salary) FROM ({RUNS})"
 )
@@ -493,6 +503,17 @@ ORACLES["silver_from_landing"] = (
     f"WITH merged AS ({_MERGED}), {silver_steps('merged', 'x_', MERGED_NAMES)} {_SHOWN_SILVER}"
 )
 ORACLES["silver_incremental"] = ORACLES["silver_from_landing"]
+_OLD = (
+    f"SELECT *, CAST(NOT {filled('apply_link')} AS INTEGER) AS ingest_unlinked FROM ("
+    + keep_last(f"SELECT * EXCLUDE (o_orderdate), 1::BIGINT AS ingest_run FROM ({RAW})")
+    + ")"
+)
+ORACLES["silver_changes"] = (
+    f"WITH older AS ({_OLD}), merged AS ({_MERGED}), {silver_steps('older', 'o_', MERGED_NAMES)}, "
+    f"{silver_steps('merged', 'x_', MERGED_NAMES)}, was AS ({_SHOWN_SILVER.replace('x_silver', 'o_silver')}), "
+    f"now AS ({_SHOWN_SILVER}) SELECT 1 AS sign, * FROM (SELECT * FROM now EXCEPT ALL SELECT * FROM was) "
+    "UNION ALL SELECT -1, * FROM (SELECT * FROM was EXCEPT ALL SELECT * FROM now)"
+)
 
 # --- star ------------------------------------------------------------------------------
 

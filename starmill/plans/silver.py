@@ -139,3 +139,53 @@ def refresh(
     kept = keys.absent(cleaned, drop_repeats(old, order), order, null_safe=True)
     again = keys.present(after, touched, rules.POSTING_KEY, null_safe=True)
     return kept.unionByName(silver(again, order, keep=order))
+
+
+def changed_firsts(before: DataFrame, after: DataFrame, newer: DataFrame, went: DataFrame, order: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """The posting key of each posting whose first row is another now, with ``old`` and ``new``.
+
+    ``newer`` came and ``went`` is what it replaced; only their posting keys are looked at, in the
+    narrow columns of both histories.  ``old`` and ``new`` hold the first row's order columns and
+    those in ``also``, null where the posting was not there.  Nothing is ranked: the first row of a
+    key is the least, so each task sends one row a key.
+    """
+    touched = newer.select(*rules.POSTING_KEY).unionByName(went.select(*rules.POSTING_KEY)).distinct()
+    place = F.struct(*order, *also)
+
+    def marked(history: DataFrame, name: str, other: str) -> DataFrame:
+        found = keys.present(history.select(*order, *also, *rules.POSTING_KEY), touched, rules.POSTING_KEY, null_safe=True)
+        shown = found.select(*rules.POSTING_KEY, place.alias(name))
+        return shown.withColumn(other, F.lit(None).cast(shown.schema[name].dataType))
+
+    both = marked(before, "old", "new").unionByName(marked(after, "new", "old"))
+    firsts = both.groupBy(*rules.POSTING_KEY).agg(F.min("old").alias("old"), F.min("new").alias("new"))
+    return firsts.where(~F.col("old").eqNullSafe(F.col("new")))
+
+
+def changes(cleaned: DataFrame, after: DataFrame, firsts: DataFrame, order: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Rows that leave ``cleaned`` (``sign`` -1) and rows that come (1), with ``change``.
+
+    ``firsts`` is :func:`changed_firsts`.  ``change`` is inserted, removed, or replaced, which is a
+    row of each sign.  ``cleaned`` and ``after`` need only hold the rows that ``firsts`` names;
+    ``keep`` names columns of both that pass through.
+    """
+    change = F.when(F.col("old").isNull(), "inserted").when(F.col("new").isNull(), "removed").otherwise("replaced")
+
+    def named(side: str, rows: DataFrame) -> DataFrame:
+        places = firsts.where(F.col(side).isNotNull()).select(
+            *[F.col(f"{side}.{c}").alias(f"__{c}") for c in order], change.alias("change")
+        )
+        same = F.lit(True)
+        for c in order:
+            same &= F.col(c).eqNullSafe(F.col(f"__{c}"))
+        return rows.join(places, same).drop(*[f"__{c}" for c in order])
+
+    left = named("old", cleaned).withColumn("sign", F.lit(-1))
+    came = silver(named("new", after), order, keep=[*order, *keep, "change"]).withColumn("sign", F.lit(1))
+    return left.unionByName(came)
+
+
+def apply_changes(cleaned: DataFrame, feed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``cleaned`` after the ``feed`` of :func:`changes`."""
+    kept = keys.absent(cleaned, feed.where("sign = -1"), order, null_safe=True)
+    return kept.unionByName(feed.where("sign = 1").select(*cleaned.columns))

@@ -14,8 +14,10 @@ from starmill.functions import text as T
 from starmill.operators import dedup, keys, quality
 from starmill.operators.schema import align, upper_names
 from starmill.plans import analytics, bronze, gold, silver
+from starmill.plans import run as runs
 from starmill.session import configure
 from starmill.sources import landing, tables
+from starmill.sources.lake import Lake, content
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,6 +132,58 @@ def history_merge_incremental(spark, sf_dir):
     return bronze.merge(merged, newer, RUN_ORDER, history_is_unique=True).select(*_MERGED)
 
 
+def _two_runs(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake whose second run merged the newer postings into the buckets they touch."""
+    lake = Lake(spark, tables.run_folder(spark, "lake"), buckets=16)
+    for number, rows in enumerate(fixtures.history_and_batch(spark, sf_dir), 1):
+        unique = dedup.keep_last(rows, dedup.history_identity(), RUN_ORDER)
+        runs.merge_history(lake, tables.stage(unique, "batch"), number, "query", RUN_ORDER)
+    return lake
+
+
+@query
+def history_buckets(spark, sf_dir):
+    """The merged history read back from its buckets, those of both runs."""
+    return _two_runs(spark, sf_dir).read("bronze", 2).select(*_MERGED)
+
+
+@query
+def reconciliation(spark, sf_dir):
+    """Rows and hashes of each run's history: as written, and as they lie there."""
+    lake = _two_runs(spark, sf_dir)
+    parts = None
+    for number in (1, 2):
+        parts_written = lake.listed(lake.entry("bronze", number))["parts"].values()
+        rows = lake.read("bronze", number)
+        hashes = F.lit(str(sum(int(p["sum"]) for p in parts_written)))
+        part = rows.agg(*content(rows.columns)).select(
+            F.lit(number).cast("bigint").alias("run"),
+            F.lit(sum(p["rows"] for p in parts_written)).cast("bigint").alias("written"),
+            F.col("rows").alias("read_back"),
+            (F.col("sum") == hashes).alias("same_content"),
+        )
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+@query
+def landing_rejects(spark, sf_dir):
+    """Landing files of up to 500 postings, some of them torn: what is read of each, and what is not."""
+    flat = fixtures.landing(spark, sf_dir)
+    each = flat.select((F.col("ingest_seq") / 500).cast("bigint").alias("file"), F.explode("data.jobs").alias("job"))
+    whole = each.groupBy("file").agg(F.to_json(F.struct(F.struct(F.collect_list("job").alias("jobs")).alias("data"))).alias("value"))
+    torn = F.when(F.col("file") % 3 == 1, F.expr("substr(value, 1, length(value) - 9)")).otherwise(F.col("value"))
+    folder = tables.run_folder(spark, "landing")
+    whole.select("file", torn.alias("value")).write.partitionBy("file").text(folder)
+    payloads = landing.read_payloads(spark, f"{folder}/*/*.txt", reject=True)
+    read, rejects = landing.split_rejects(tables.stage(payloads, "payloads"))
+    number = F.regexp_extract("ingest_file", r"/file=(\d+)/", 1).cast("bigint").alias("file")
+    found = landing.postings(read).groupBy(number).agg(F.count(F.lit(1)).alias("postings"))
+    return found.withColumn("rejected", F.lit(False)).unionByName(
+        rejects.select(number, F.lit(0).cast("bigint").alias("postings"), F.lit(True).alias("rejected"))
+    )
+
+
 @query
 def history_backfill(spark, sf_dir):
     historical, existing = fixtures.history_and_batch(spark, sf_dir)
@@ -333,24 +387,44 @@ def silver_from_landing(spark, sf_dir):
     return _shown(silver.silver(merged, stored, keep=stored))
 
 
-@query
-def silver_incremental(spark, sf_dir):
-    """The same rows when the history is cleaned already: only touched postings are again."""
-    order = ["ingest_unlinked", *RUN_ORDER]
+_STORED_ORDER = ["ingest_unlinked", *RUN_ORDER]
+
+
+def _stored_history(rows: DataFrame, label: str = "bronze") -> DataFrame:
+    marked = rows.withColumn("ingest_unlinked", (~dedup.linked()).cast("int"))
+    return tables.stage(marked.select(*_STORED_ORDER, *rules.BRONZE_COLUMNS), label)
 
-    def stored(rows: DataFrame) -> DataFrame:
-        marked = rows.withColumn("ingest_unlinked", (~dedup.linked()).cast("int"))
-        return tables.stage(marked.select(*order, *rules.BRONZE_COLUMNS), "bronze")
 
+def _landed_on_history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The history before a batch, what it was cleaned to, the batch, and the history after it."""
     history = _raw(spark, sf_dir).withColumn("ingest_run", F.lit(1).cast("bigint"))
-    before = stored(dedup.keep_last(history, dedup.history_identity(), RUN_ORDER))
-    cleaned = tables.stage(silver.silver(before, order, keep=order), "silver")
+    before = _stored_history(dedup.keep_last(history, dedup.history_identity(), RUN_ORDER))
+    cleaned = tables.stage(silver.silver(before, _STORED_ORDER, keep=_STORED_ORDER), "silver")
     rows = landing.postings(fixtures.landing(spark, sf_dir))
-    newer = bronze.batch(rows, fixtures.FETCHED_AT, ORDER).withColumn(
+    batch = bronze.batch(rows, fixtures.FETCHED_AT, ORDER).withColumn(
         "ingest_run", F.lit(2).cast("bigint")
     )
-    after = stored(bronze.merge(before, newer, RUN_ORDER, history_is_unique=True))
-    return _shown(silver.refresh(cleaned, before, after, F.col("ingest_run") == 2, order))
+    newer = _stored_history(dedup.keep_last(batch, dedup.history_identity(), RUN_ORDER), "batch")
+    after = _stored_history(bronze.merge(before, newer, RUN_ORDER, history_is_unique=True))
+    return before, cleaned, newer, after
+
+
+@query
+def silver_incremental(spark, sf_dir):
+    """The same rows when the history is cleaned already: only touched postings are again."""
+    before, cleaned, _, after = _landed_on_history(spark, sf_dir)
+    return _shown(silver.refresh(cleaned, before, after, F.col("ingest_run") == 2, _STORED_ORDER))
+
+
+@query
+def silver_changes(spark, sf_dir):
+    """What a batch takes from the cleaned table (sign -1) and adds to it (1)."""
+    before, cleaned, newer, after = _landed_on_history(spark, sf_dir)
+    named = {f"__k_{name}": column for name, column in dedup.history_identity().items()}
+    identities = newer.select(*[column.alias(name) for name, column in named.items()])
+    went = keys.present(before.withColumns(named), identities, list(named), null_safe=True)
+    firsts = tables.stage(silver.changed_firsts(before, after, newer, went, _STORED_ORDER), "firsts")
+    return _shown(silver.changes(cleaned, after, firsts, _STORED_ORDER).drop("change"))
 
 
 # --- star ------------------------------------------------------------------------------

@@ -49,23 +49,47 @@ _LANDED = "_metadata.file_modification_time"
 TIME_SHOWN = "yyyy-MM-dd HH:mm:ss"
 
 
-def _from_files(reader, path: str) -> DataFrame:
-    """A file that is no JSON document stops the read: left out, its postings would be lost."""
-    rows = reader.schema(PAYLOAD).option("multiLine", True).option("mode", "FAILFAST").json(path)
+# Holds the text of a file that is no payload.
+CORRUPT = "corrupt"
+
+
+class TooManyRejects(ValueError):
+    pass
+
+
+def _from_files(reader, path: str, reject: bool) -> DataFrame:
+    """A file that is no JSON document stops the read: left out, its postings would be lost.
+
+    With ``reject`` it becomes a row of its own, its text in :data:`CORRUPT`.
+    """
+    schema = T.StructType([*PAYLOAD.fields, *([T.StructField(CORRUPT, T.StringType())] if reject else [])])
+    reader = reader.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE" if reject else "FAILFAST")
+    rows = reader.option("columnNameOfCorruptRecord", CORRUPT).json(path)
     name = F.concat_ws(
         " ", F.date_format(_LANDED, "yyyyMMddHHmmss.SSSSSS"), F.col("_metadata.file_path")
     )
-    return rows.select(
-        "data", name.alias("ingest_file"), F.date_format(_LANDED, TIME_SHOWN).alias("landed_at")
-    )
+    shown = [F.col(f.name) for f in schema.fields]
+    return rows.select(*shown, name.alias("ingest_file"), F.date_format(_LANDED, TIME_SHOWN).alias("landed_at"))
+
+
+def read_payloads(spark: SparkSession, path: str, reject: bool = False) -> DataFrame:
+    return _from_files(spark.read, path, reject)
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    return _from_files(spark.read, path)
+def stream_payloads(spark: SparkSession, path: str, files_per_batch: int = 1000, reject: bool = False) -> DataFrame:
+    return _from_files(spark.readStream.option("maxFilesPerTrigger", files_per_batch), path, reject)
 
 
-def stream_payloads(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    return _from_files(spark.readStream.option("maxFilesPerTrigger", files_per_batch), path)
+def split_rejects(payloads: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Payloads that were read, and the files that were not (``ingest_file``, ``landed_at``, their text).
+
+    ``payloads`` was read with ``reject`` and is stored, so that files are parsed once.  More than
+    ``most`` such files raise.
+    """
+    rejects = payloads.where(F.col(CORRUPT).isNotNull()).select("ingest_file", "landed_at", CORRUPT)
+    if most is not None and (found := rejects.count()) > most:
+        raise TooManyRejects(f"{found} files are no payload, at most {most} may be")
+    return payloads.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rejects
 
 
 def postings(payloads: DataFrame) -> DataFrame:

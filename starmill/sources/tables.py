@@ -47,6 +47,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def require_rows(df: DataFrame, what: str) -> DataFrame:
     """``df`` itself; raises when it has no rows (stops at the first row found)."""
     if df.isEmpty():
@@ -162,12 +167,9 @@ class StarStore:
         reader = self.spark.read.format(self.fmt)
         if self.fmt != "delta":
             reader = reader.schema(self.schemas[name])
-        try:
-            return reader.load(f"{self.folder}/{name}")
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+        if not path_exists(self.spark, f"{self.folder}/{name}"):
             return self.spark.createDataFrame([], self.schemas[name])
+        return reader.load(f"{self.folder}/{name}")
 
     def append(self, name: str, rows: DataFrame) -> None:
         columns = T.StructType.fromDDL(self.schemas[name]).names

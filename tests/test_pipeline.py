@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from starmill import fixtures, rules
 from starmill.operators.schema import MissingColumns, require_columns, try_cast_columns
 from starmill.plans import analytics, bronze, gold, silver
-from starmill.plans.run import Lake, backfill, run
+from starmill.plans.run import Lake, backfill, run, star
 from starmill.sources import tables
 from starmill.streaming.landing import follow
 
@@ -162,7 +162,7 @@ def job(title, link=None, **more):
 def test_runs_merge_and_load(spark, tmp_path):
     from starmill.sources.landing import read_payloads
 
-    lake = Lake(spark, str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=3)
     payload(tmp_path / "one", "a.json", job("Dev", "l1"), job("Ops"), job("dev", "L1 "))
     payload(tmp_path / "two", "a.json", job("Dev II", "l1"), job("QA", "l2", job_posted_at="قبل يومين"))
     payload(tmp_path / "none", "a.json")
@@ -188,7 +188,7 @@ def test_a_first_run_without_postings_stops(spark, tmp_path):
     from starmill.sources.landing import read_payloads
 
     payload(tmp_path / "none", "a.json")
-    lake = Lake(spark, str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=3)
     with pytest.raises(tables.EmptySource):
         run(lake, read_payloads(spark, str(tmp_path / "none")), 1, "2024-03-01 08:30:00")
 
@@ -196,7 +196,7 @@ def test_a_first_run_without_postings_stops(spark, tmp_path):
 def test_backfill_goes_under_the_history(spark, tmp_path):
     from starmill.sources.landing import read_payloads
 
-    lake = Lake(spark, str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=3)
     payload(tmp_path / "one", "a.json", job("Dev", "l1"))
     run(lake, read_payloads(spark, str(tmp_path / "one")), 1, "2024-03-01 08:30:00")
     old = spark.createDataFrame(
@@ -208,13 +208,13 @@ def test_backfill_goes_under_the_history(spark, tmp_path):
 
 
 def test_landing_stream_takes_each_file_once(spark, tmp_path):
-    lake = Lake(spark, str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=3)
     landed = tmp_path / "landed"
     payload(landed, "a.json", job("Dev", "l1"))
 
     def go():
         follow(lake, str(landed), str(tmp_path / "progress"), "2024-03-01 08:30:00").awaitTermination()
-        return lake.star().count("FACT_JOBS")
+        return star(lake).count("FACT_JOBS")
 
     assert go() == 1
     payload(landed, "b.json", job("Ops", "l2"), job("QA"))
@@ -292,7 +292,7 @@ def test_stage_reads_only_needed_columns(spark):
 def test_stream_does_not_overwrite_other_runs(spark, tmp_path):
     from starmill.sources.landing import read_payloads
 
-    lake = Lake(spark, str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=3)
     payload(tmp_path / "one", "a.json", job("A", "la"), job("B", "lb"))
     run(lake, read_payloads(spark, str(tmp_path / "one")), 1, "2024-03-01 08:30:00").collect()
     payload(tmp_path / "landed", "c.json", job("C", "lc"))
@@ -313,7 +313,7 @@ def test_grouping_of_files_does_not_change_the_history(spark, tmp_path, files):
     for at, (name, title) in enumerate([("b.json", "older"), ("a.json", "newer")]):
         payload(landed, name, job(title, "l1"))
         os.utime(landed / name, (1_700_000_000 + at, 1_700_000_000 + at))
-    lake = Lake(spark, str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=3)
     follow(lake, str(landed), str(tmp_path / "progress"), files_per_run=files).awaitTermination()
     rows = lake.read("bronze", lake.last_run("bronze")).collect()
     assert [(r.job_title, r.fetched_at) for r in rows] == [("newer", "2023-11-14 22:13:21")]
@@ -324,7 +324,7 @@ def test_a_torn_landing_file_stops_the_run(spark, tmp_path):
 
     payload(tmp_path / "in", "a.json", job("A", "la"))
     (tmp_path / "in" / "b.json").write_text('{"data": {"jobs": [{"job_title": "B"')
-    lake = Lake(spark, str(tmp_path / "lake"))
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=3)
     with pytest.raises(Exception, match="(?i)malformed"):
         run(lake, read_payloads(spark, str(tmp_path / "in")), 1, "2024-03-01 08:30:00")
     assert lake.last_run("bronze") is None
