@@ -6,13 +6,16 @@ a logistic regression is trained on features scaled by these ratios.  Only featu
 ``LEAST_TEXTS`` texts, and of these the ``MOST_FEATURES`` whose share among toxic texts lies the
 most standard deviations off, get a weight, so the model is small and each task holds all of it.
 
-Ratios and features are taken from all labelled texts, one for each distinct doc_id and text.  The
-regression takes a bounded sample of them: up to ``SAMPLE`` texts of each label, those with the
+Ratios and features are taken from all labelled texts, one for each distinct doc_id and text.  Each task
+counts its texts in a table of all features, which it gives away in packed slices, summed slice by
+slice; there are as many tasks as cores, so what is shuffled beside the texts does not grow with them.
+The regression takes a bounded sample of them: up to ``SAMPLE`` texts of each label, those with the
 smallest hashes, weighted to the shares the labels have over all training rows.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +32,8 @@ SAMPLE = 2000
 LEAST_TEXTS = 3
 MOST_FEATURES = 1 << 12
 FOLDS = 5
+#: Features of one slice of counts.
+SLICE = 1 << 12
 _CHARS_AT_ONCE = 1 << 20
 _MULTIPLIER = np.uint32(0x9E3779B1)
 
@@ -126,11 +131,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     total = sum(counts.values())
     if not total:
         return Model(np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.float32), 0.0)
-    rows = docs.select("doc_id", text_of().alias("text")).join(known, "doc_id").distinct()
-    training = stage(rows.withColumn("digest", F.sha2("text", 256)), "toxic-training")
-    texts_of = dict(training.groupBy("toxic").count().collect())
+    digest = F.sha2(text_of(), 256).alias("digest")
+    named = stage(docs.select("doc_id", digest).join(known, "doc_id").distinct(), "toxic-digests")
+    texts_of = dict(named.groupBy("toxic").count().collect())
     order = (F.xxhash64("doc_id", "digest"), "doc_id", "digest")
-    named = training.select("doc_id", "digest", "toxic")
     chosen = named.where("toxic = 1").orderBy(*order).limit(sample).unionByName(
         named.where("toxic = 0").orderBy(*order).limit(sample)
     )
@@ -138,12 +142,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # Features are counted and chosen by Spark; the driver sees the chosen ones alone.
     ones, zeros = texts_of.get(1, 0), texts_of.get(0, 0)
     mean = ones / max(ones + zeros, 1)
-    held = training.select("text", "toxic").mapInPandas(_count, "feature long, n1 long, n0 long").groupBy("feature").agg(
-        F.sum("n1").alias("n1"), F.sum("n0").alias("n0")
-    )
+    texts = docs.select("doc_id", text_of().alias("text")).join(known, "doc_id").distinct()
+    tasks = texts.select("text", "toxic").coalesce(docs.sparkSession.sparkContext.defaultParallelism)
+    slices = tasks.mapInPandas(_count, "slice int, counts binary").groupBy("slice")
+    held = slices.applyInPandas(_added, "feature long, n1 long, n0 long")
     expected = (F.col("n1") + F.col("n0")) * mean
     off = F.abs(F.col("n1") - expected) / F.sqrt(expected * (1 - mean) + 1)
-    kept = held.where(F.col("n1") + F.col("n0") >= LEAST_TEXTS).orderBy(off.desc(), "feature").limit(MOST_FEATURES)
+    kept = held.orderBy(off.desc(), "feature").limit(MOST_FEATURES)
     kept = sorted((r.feature, r.n1, r.n0) for r in kept.collect())
     features = np.array([k[0] for k in kept], dtype=np.uint32)
     n1, n0 = (np.array([k[i] for k in kept], dtype=np.float64) for i in (1, 2))
@@ -154,10 +159,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         wanted[features] = True
         for batch in batches:
             found = [_hits(text, wanted).astype("<u4").tobytes() for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "features": found})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "toxic": batch["toxic"], "features": found})
 
-    texts = training.join(F.broadcast(chosen.select("doc_id", "digest")), ["doc_id", "digest"], "left_semi")
-    rows = texts.select("doc_id", "toxic", "text").mapInPandas(extract, "doc_id long, toxic int, features binary").toPandas()
+    # A chosen text that stands in many rows is one row again before it is shuffled.
+    texts = docs.select("doc_id", text_of().alias("text"), digest).join(F.broadcast(chosen), ["doc_id", "digest"])
+    rows = texts.select("doc_id", "digest", "toxic", "text").mapInPandas(extract, "doc_id long, digest string, toxic int, features binary")
+    rows = rows.groupBy("doc_id", "digest", "toxic").agg(F.min("features").alias("features")).toPandas()
     # The order of the rows must not decide the last digits of the weights.
     rows = rows.sort_values(["doc_id", "features"], kind="stable")
     found = [np.frombuffer(f, dtype="<u4") for f in rows["features"]]
@@ -165,13 +172,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """How many texts of each label hold a feature, one row per feature of the task's texts."""
+    """How many of the task's texts of each label hold a feature: one packed row per slice of features."""
     held = np.zeros((2, 1 << BITS), dtype=np.int32)
     for batch in batches:
         for text, label in zip(batch["text"], batch["toxic"], strict=True):
             held[int(label), _hits(text, None)] += 1
-    for at in np.array_split(np.flatnonzero(held.any(axis=0)), 16):
-        yield pd.DataFrame({"feature": at, "n1": held[1, at].astype("int64"), "n0": held[0, at].astype("int64")})
+    for at in range(0, 1 << BITS, SLICE):
+        part = held[:, at : at + SLICE]
+        if part.any():
+            yield pd.DataFrame({"slice": [at // SLICE], "counts": [zlib.compress(part.tobytes(), 1)]})
+
+
+def _added(frame: pd.DataFrame) -> pd.DataFrame:
+    """The sums of one slice, a row for each feature of enough texts."""
+    total = np.zeros((2, SLICE), dtype=np.int64)
+    for packed in frame["counts"]:
+        total += np.frombuffer(zlib.decompress(packed), dtype=np.int32).reshape(2, SLICE)
+    at = np.flatnonzero(total.sum(axis=0) >= LEAST_TEXTS)
+    return pd.DataFrame({"feature": at + int(frame["slice"].iloc[0]) * SLICE, "n1": total[1, at], "n0": total[0, at]})
 
 
 # --- scoring ---------------------------------------------------------------------------
