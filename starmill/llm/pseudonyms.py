@@ -47,7 +47,8 @@ _COUNTRIES = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
 
 PATTERN = "|".join(
     (
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+        # Possessive groups repeat without recursion.  A mail name has at most 64 characters.
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
         rf"(?<![A-Za-z0-9])(?:{_IBANS})(?![A-Za-z0-9])",
         # Other countries and lengths; what follows may be an IBAN of a known length.
         rf"(?<![A-Za-z0-9])[A-Z]{{2}}[0-9]{{2}}(?: ?(?!(?<= )(?:{_COUNTRIES})[0-9]{{2}})[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![A-Za-z0-9])",

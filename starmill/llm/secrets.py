@@ -35,7 +35,8 @@ KINDS = ("assign", "access", "hex", "armour", "der", "ssh", "jwt")
 _ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 _LONG_HEX = re.compile(r"[0-9A-Fa-f]{64,}")
-_SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]+")
+# From the front of a run and without going back, so that a long run is read once.
+_SIGNED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]+")
 _SSH_MAGIC = b"openssh-key-v1\x00"
 # Runs of base64, one a line, the first of them long; breaks may be escaped.
 _BREAK = r"(?:\\[rn]|[\r\n])+[ \t]*"

@@ -13,6 +13,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -32,8 +33,10 @@ _BREAKS = re.compile(
     re.I,
 )
 _TAGS = re.compile(r"<[!/?a-zA-Z][^>]*(?:>|$)")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-_LINKS = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_TITLE = re.compile(r"<title\b[^<>]*>", re.I)
+_TITLE_END = re.compile(r"</title", re.I)
+# A tag ends at the next angle bracket, so that unclosed tags are each read once.
+_LINKS = re.compile(r"""<a\b[^<>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 
 # --- records as bytes --------------------------------------------------------------------
@@ -48,14 +51,22 @@ def record_bytes(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + _CRLF * 2 + block + _CRLF * 2
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record; a torn last record is left out."""
+class Headers(dict):
+    """A record's headers by name in lower case, the first of each; ``pairs`` has all, in order."""
+
+    def __init__(self, lines: list[str]):
+        self.pairs = [(k.strip().lower(), v.strip()) for k, _, v in (line.partition(":") for line in lines)]
+        super().__init__(reversed(self.pairs))
+
+
+def parse_records(data: bytes) -> Iterator[tuple[Headers, bytes]]:
+    """Headers and block of each record; a torn last record is left out."""
     at = 0
     while (end := data.find(b"\r\n\r\n", at)) >= 0:
         lines = data[at:end].decode("utf-8", "replace").split("\r\n")
         while lines and not lines[0].startswith("WARC/"):
             lines = lines[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+        headers = Headers(lines[1:])
         size = headers.get("content-length", "")
         if not size.isdigit() or end + 4 + int(size) > len(data):
             return
@@ -101,20 +112,55 @@ def plain_text(page: str) -> str:
     return "\n".join(line for line in lines if line)
 
 
-def _metadata_block(headers: dict[str, str], status: str, http: list[str], page: str) -> bytes:
-    lines = [f"source-{name}: {value}" for name, value in headers.items()]
+def _dechunked(data: bytes) -> bytes:
+    """The content of a chunked body; what follows a torn chunk is lost."""
+    parts, at = [], 0
+    while (end := data.find(b"\r\n", at)) >= 0:
+        size = data[at:end].split(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,8}", size) or not int(size, 16):
+            break
+        parts.append(data[end + 2 : end + 2 + int(size, 16)])
+        at = end + 2 + int(size, 16) + 2
+    return b"".join(parts)
+
+
+def page_text(http: list[str], payload: bytes) -> str:
+    """The page of a response: out of its chunks, unpacked and in its character set as its headers say.
+
+    What cannot be unpacked is read as it is; an unknown character set is read as UTF-8.
+    """
+    of = {name.strip().lower(): value.strip().lower() for name, _, value in (line.partition(":") for line in http)}
+    if "chunked" in of.get("transfer-encoding", "") and re.match(rb"[0-9A-Fa-f]+[;\r ]", payload):
+        payload = _dechunked(payload)
+    if (packed := of.get("content-encoding", "")) in ("gzip", "x-gzip", "deflate"):
+        for bits in (47, -15):  # with a header, either kind, or without one
+            try:
+                payload = zlib.decompressobj(bits).decompress(payload)
+                break
+            except zlib.error:
+                continue
+    named = re.search(r"charset=[\"']?([\w.:-]+)", of.get("content-type", ""))
+    try:
+        return payload.decode(named[1] if named else "utf-8", "replace")
+    except LookupError:
+        return payload.decode("utf-8", "replace")
+
+
+def _metadata_block(headers: Headers, status: str, http: list[str], page: str) -> bytes:
+    lines = [f"source-{name}: {value}" for name, value in headers.pairs]
     lines += [f"http-status: {_line(status)}"] + [f"http-header: {_line(line)}" for line in http]
-    if title := _TITLE.search(page):
-        lines.append(f"title: {_line(html.unescape(title[1]))}")
+    title = _TITLE.search(page)
+    if title and (end := _TITLE_END.search(page, title.end())):
+        lines.append(f"title: {_line(html.unescape(page[title.end() : end.start()]))}")
     lines += [f"outlink: {_line(html.unescape(a or b or c))}" for a, b, c in _LINKS.findall(page)]
     return "\r\n".join(lines).encode("utf-8", "replace") + _CRLF
 
 
-def derived(headers: dict[str, str], block: bytes) -> Iterator[tuple[str, list[tuple[str, str]], bytes]]:
+def derived(headers: Headers, block: bytes) -> Iterator[tuple[str, list[tuple[str, str]], bytes]]:
     """The metadata and the conversion record of one response: type, headers, block."""
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *http = head.decode("iso-8859-1").split("\r\n")
-    page = payload.decode("utf-8", "replace")
+    page = page_text(http, payload)
     source = headers.get("warc-record-id", "")
     blocks = (
         ("metadata", "application/warc-fields", _metadata_block(headers, status, http, page)),
