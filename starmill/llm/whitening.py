@@ -1,11 +1,10 @@
 """Embedding whitening over distributed block matrices.
 
-Vectors become whole numbers, ``floor(SCALE * c)``.  Rows are gathered into blocks of ``ROWS`` vectors,
-one row of a written table each, and the blocks are numbered; nothing is sorted or indexed by row.
-The blocks of the fit list (each distinct vector once), less the mean, are a ``BlockMatrix`` A; its
-transpose times itself is the scatter matrix, whose eigenvectors one task finds.  A times the
-whitening matrix (eigenvectors over the roots of their eigenvalues) gives the fit list's whitened
-vectors, from which the error is measured; the blocks of all rows times that matrix give theirs.
+Vectors become whole numbers, ``floor(SCALE * c)``.  The fit list (each distinct vector once), less its
+mean, is indexed and laid out as a ``BlockMatrix`` A; its transpose times itself is the scatter matrix,
+whose eigenvectors one task finds.  A times the whitening matrix (eigenvectors over the roots of their
+eigenvalues) gives the fit list's whitened vectors, from which the error is measured; the blocks of all
+rows times that matrix give theirs.  Rows stay in the JVM from the scan to the result.
 
 The driver holds matrices of dimensions by dimensions, and Spark's block matrix one pair of numbers
 for each block; so ``rows_per_block`` should grow with very large tables.
@@ -13,15 +12,16 @@ for each block; so ``rows_per_block`` should grow with very large tables.
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
-from decimal import Decimal
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
-from pyspark.mllib.linalg.distributed import BlockMatrix
-from pyspark.sql import DataFrame, Window
+from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
+from pyspark.mllib.util import MLUtils
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import stage
@@ -32,7 +32,8 @@ ROWS = 4096
 COLUMNS = 1024
 #: Blocks that one task of a product holds at once.
 BLOCKS_AT_ONCE = 16
-_LONG = 1 << 63
+# Spark's row ids have the partition above these bits and the place in it below.
+_PLACE_BITS = 33
 
 
 # --- vectors -----------------------------------------------------------------------------
@@ -54,75 +55,43 @@ def _same_width(rows: DataFrame, width: int) -> DataFrame:
     return rows.withColumn("x", F.concat("x", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("x"))))
 
 
-# --- blocks ------------------------------------------------------------------------------
+# --- matrices ----------------------------------------------------------------------------
 
 
-def blocks(rows: DataFrame, width: int, rows_per_block: int = ROWS) -> DataFrame:
-    """``block`` (numbered from 0), ``ids``, ``x`` (packed) of ``rows``: ``vec_id``, ``x`` of one width.
+def indexed(rows: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``rows``, stored, with ``index`` from 0 on without a gap; and how many they are."""
+    made = stage(rows.withColumn("__place", F.monotonically_increasing_id()), label)
+    made = made.withColumn("__part", F.shiftright("__place", _PLACE_BITS))
+    shares = made.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    shares = stage(shares.select("__part", "__n", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")), f"{label}-shares")
+    index = F.col("__place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)) + F.col("__before")
+    found = made.join(shares.drop("__n"), "__part").select(*rows.columns, index.alias("index"))
+    return found, shares.agg(F.coalesce(F.sum("__n"), F.lit(0))).first()[0]
 
-    A task's last block may be short.
-    """
-
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids: list = []
-        held: list[np.ndarray] = []
-        at = 0
-
-        def block(count: int) -> pd.DataFrame:
-            packed = zlib.compress(np.stack(held[:count]).astype("<i8").T.tobytes(), 1)
-            return pd.DataFrame({"at": [at], "ids": [ids[:count]], "x": [packed]})
-
-        for batch in batches:
-            ids += [None if pd.isna(i) else int(i) for i in batch["vec_id"]]
-            held += list(batch["x"])
-            while len(held) >= rows_per_block:
-                yield block(rows_per_block)
-                at, ids, held = at + 1, ids[rows_per_block:], held[rows_per_block:]
-        if held:
-            yield block(len(held))
-
-    made = rows.mapInPandas(gather, "at long, ids array<long>, x binary").withColumn("part", F.spark_partition_id())
-    made = stage(made, "whitening-blocks")
-    shares = made.groupBy("part").agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    shares = shares.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return made.join(shares, "part").select((F.col("at") + F.col("before")).alias("block"), "ids", "x")
-
-
-def _opened(packed: bytes, width: int) -> np.ndarray:
-    """The vectors of a block, as rows."""
-    return np.frombuffer(zlib.decompress(packed), dtype="<i8").reshape(width, -1).T
-
-
-def _sums(fit: DataFrame, width: int) -> tuple[int, list[int]]:
-    """How many vectors, and their exact sum in each dimension."""
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for packed in batch["x"]:
-                x = _opened(packed, width)
-                # In two parts, so that no sum runs over.
-                total = [(int(high) << 32) + int(low) for high, low in zip((x >> 32).sum(axis=0), (x & 0xFFFFFFFF).sum(axis=0), strict=True)]
-                yield pd.DataFrame({"n": [len(x)] * width, "dimension": range(width), "total": [Decimal(t) for t in total]})
 
-    parts = fit.select("x").mapInPandas(partial, "n long, dimension int, total decimal(38,0)")
-    found = {r.dimension: r for r in parts.groupBy("dimension").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect()}
-    return (found[0].n if found else 0), [int(found[i].total) for i in range(width) if found]
+def _sums(fit: DataFrame, width: int) -> list[int]:
+    """The exact sum of the vectors in each dimension."""
+    entries = fit.select(F.posexplode("x").alias("dimension", "c"))
+    found = {r.dimension: int(r.total) for r in entries.groupBy("dimension").agg(F.sum(F.col("c").cast("decimal(38,0)")).alias("total")).collect()}
+    return [found.get(i, 0) for i in range(width)]
 
 
-def _matrix(table: DataFrame, width: int, mean: np.ndarray, count: int, rows_per_block: int) -> BlockMatrix:
-    """The centred rows of a table of blocks; what is missing in a short block is zero."""
+def _matrix(rows: DataFrame, mean: list[float], count: int, rows_per_block: int) -> BlockMatrix:
+    """The centred rows, laid out in blocks by their index."""
+    centre = F.array(*[F.lit(m) for m in mean])
+    centred = F.zip_with("x", centre, lambda x, m: x.cast("double") - m)
+    table = MLUtils.convertVectorColumnsFromML(rows.select("index", array_to_vector(centred).alias("vector")), "vector")
+    # What the Python class does with rows of its own, for rows that Spark has already.
+    java = callMLlibFunc("createIndexedRowMatrix", table, count, len(mean))
+    return IndexedRowMatrix(java).toBlockMatrix(rows_per_block, min(len(mean), COLUMNS))
 
-    def dense(row) -> Iterator[tuple]:
-        x = _opened(bytes(row.x), width).astype(np.float64) - mean
-        full = np.zeros((rows_per_block, width))
-        full[: len(x)] = x
-        for j in range(0, width, COLUMNS):
-            part = full[:, j : j + COLUMNS]
-            yield (int(row.block), j // COLUMNS), DenseMatrix(rows_per_block, part.shape[1], part.ravel(order="F"))
 
-    made = table.select("block", "x").rdd.flatMap(dense)
-    return BlockMatrix(made, rows_per_block, min(width, COLUMNS), count * rows_per_block, width)
+def _rows(matrix: BlockMatrix) -> DataFrame:
+    """``index`` and ``z``, an array, of a block matrix's rows."""
+    java = matrix.toIndexedRowMatrix()._java_matrix_wrapper._java_model
+    table = MLUtils.convertVectorColumnsToML(callMLlibFunc("getIndexedRows", java), "vector")
+    return table.select("index", vector_to_array("vector").alias("z"))
 
 
 def _product(left: BlockMatrix, right: BlockMatrix, inner: int) -> BlockMatrix:
@@ -167,50 +136,19 @@ def _eigen(spark, scatter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values, vectors * np.where(largest < 0, -1.0, 1.0)
 
 
-def _projected(matrix: BlockMatrix, whitener: np.ndarray, spark) -> DataFrame:
-    """``block`` and ``z``: the rows of the matrix times the whitening matrix, packed by rows."""
-    width, k = whitener.shape
-    parts = [
-        ((j // COLUMNS, 0), DenseMatrix(len(whitener[j : j + COLUMNS]), k, whitener[j : j + COLUMNS].ravel(order="F"))) for j in range(0, width, COLUMNS)
-    ]
-    right = BlockMatrix(spark.sparkContext.parallelize(parts, 1), min(width, COLUMNS), k, width, k)
-    product = _product(matrix, right, 1)
-    rows = product.blocks.map(lambda b: (int(b[0][0]), bytearray(np.ascontiguousarray(b[1].toArray()).tobytes())))
-    return spark.createDataFrame(rows, "block long, z binary")
+def _whitener(spark, matrix: np.ndarray) -> BlockMatrix:
+    width, k = matrix.shape
+    parts = [((j // COLUMNS, 0), DenseMatrix(len(p), k, p.ravel(order="F"))) for j in range(0, width, COLUMNS) for p in [matrix[j : j + COLUMNS]]]
+    return BlockMatrix(spark.sparkContext.parallelize(parts, 1), min(width, COLUMNS), k, width, k)
 
 
-def _identity_error(projected: DataFrame, k: int, n: int) -> float:
-    """Largest absolute entry of the projections' covariance less the identity.
-
-    They are projections of centred rows, so their products need no centring again.
-    """
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((k, k))
-        for batch in batches:
-            for data in batch["z"]:
-                z = np.frombuffer(data, dtype="<f8").reshape(-1, k)
-                total += (z[:, :, None] * z[:, None, :]).sum(axis=0)
-        yield pd.DataFrame({"place": range(k * k), "total": total.ravel()})
-
-    sums = projected.select("z").mapInPandas(partial, "place int, total double").groupBy("place").agg(F.sum("total").alias("total"))
-    covariance = np.zeros(k * k)
-    for r in sums.collect():
-        covariance[r.place] = r.total / n
-    return float(np.abs(covariance.reshape(k, k) - np.eye(k)).max())
-
-
-def _deviation(n: int, sums: list[int]) -> Callable[[np.ndarray], list[int | None]]:
+def _deviation(n: int, sums: list[int]) -> Column:
     """Sum over dimensions of (n * x - S) ** 2, exact; null where it is beyond a long."""
-
-    def of(x: np.ndarray) -> list[int | None]:
-        most = max((abs(int(x.min())), abs(int(x.max())))) * n + max(map(abs, sums), default=0) if x.size else 0
-        if most * most * max(1, x.shape[1]) < _LONG:
-            return (((n * x - np.array(sums, dtype=np.int64)) ** 2).sum(axis=1)).tolist()
-        totals = (((n * x.astype(object) - np.array(sums, dtype=object)) ** 2).sum(axis=1)).tolist()
-        return [t if t < _LONG else None for t in totals]
-
-    return of
+    total = F.array(*[F.lit(str(s)).cast("decimal(38,0)") for s in sums])
+    away = F.zip_with("x", total, lambda x, s: F.try_subtract(F.try_multiply(x.cast("decimal(38,0)"), F.lit(str(n)).cast("decimal(38,0)")), s))
+    square = F.transform(away, lambda d: F.try_multiply(d, d).cast("decimal(38,0)"))
+    zero = F.lit("0").cast("decimal(38,0)")
+    return F.aggregate(square, zero, lambda a, d: F.try_add(a, d).cast("decimal(38,0)")).try_cast("long")
 
 
 def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE, rows_per_block: int = ROWS) -> DataFrame:
@@ -225,52 +163,37 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, scale: int = SCALE,
     spark = vectors.sparkSession
     rows = quantised(vectors, scale)
     width = rows.agg(F.coalesce(F.max(F.size("x")), F.lit(0))).first()[0]
-    shown = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
     if not width:
+        shown = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
         return spark.createDataFrame([], shown)
-    rows = _same_width(rows, width)
-    fit = blocks(rows.select("x").distinct().select(F.lit(None).cast("long").alias("vec_id"), "x"), width, rows_per_block)
-    fit = stage(fit.drop("ids"), "whitening-fit")
-    n, sums = _sums(fit, width)
-    mean = np.array([s / n for s in sums])  # of whole numbers, rounded once
-    n_blocks = fit.count()
-
-    centred = _matrix(fit, width, mean, n_blocks, rows_per_block)
-    scatter = _local(_product(centred.transpose(), centred, n_blocks), (width, width))
+    everything, count = indexed(_same_width(rows, width), "whitening-rows")
+    fit, n = indexed(everything.select("x").distinct(), "whitening-fit")
+    sums = _sums(fit, width)
+    mean = [s / n for s in sums]  # of whole numbers, rounded once
+
+    inner = -(-n // rows_per_block)
+    centred = _matrix(fit, mean, n, rows_per_block)
+    scatter = _local(_product(centred.transpose(), centred, inner), (width, width))
     values, axes = _eigen(spark, (scatter + scatter.T) / (2 * n))
     trace = float(np.trace(scatter)) / n
     k = min(components, width)
     varies = values[:k] > width * np.finfo(float).eps * max(float(values[0]), 0.0)
     held = int(varies.sum())  # values fall, so these come first
     error = None
-    everything = stage(blocks(rows, width, rows_per_block), "whitening-rows")
     if held:
-        whitener = axes[:, :held] / np.sqrt(values[:held])
-        error = _identity_error(_projected(centred, whitener, spark), held, n)
-        z = _projected(_matrix(everything, width, mean, everything.count(), rows_per_block), whitener, spark)
-        everything = everything.join(z, "block", "left")
+        whitener = _whitener(spark, axes[:, :held] / np.sqrt(values[:held]))
+        whitened = _product(centred, whitener, 1)
+        # Projections of centred rows are centred.
+        covariance = _local(_product(whitened.transpose(), whitened, inner), (held, held)) / n
+        error = float(np.abs(covariance - np.eye(held)).max())
+        everything = everything.join(_rows(_product(_matrix(everything, mean, count, rows_per_block), whitener, 1)), "index", "left")
     else:
-        everything = everything.withColumn("z", F.lit(None).cast("binary"))
-    explained = [float(v) / trace if trace > 0 else None for v in np.maximum(values[:k], 0)]
-    deviation = _deviation(n, sums)
+        everything = everything.withColumn("z", F.lit(None).cast("array<double>"))
 
-    def shown_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for ids, packed, data in zip(batch["ids"], batch["x"], batch["z"], strict=True):
-                far = pd.array(deviation(_opened(packed, width)), dtype="Int64")
-                z = np.frombuffer(data, dtype="<f8").reshape(-1, held)[: len(far)] if held else None
-                names = pd.array([None if pd.isna(i) else int(i) for i in ids], dtype="Int64")
-                for c in range(k):
-                    yield pd.DataFrame(
-                        {
-                            "vec_id": names,
-                            "component": c + 1,
-                            "n": n,
-                            "deviation": far,
-                            "whitened": z[:, c] if c < held else pd.array([None] * len(far), dtype="Float64"),
-                            "explained": pd.array([explained[c]] * len(far), dtype="Float64"),
-                            "identity_error": pd.array([error] * len(far), dtype="Float64"),
-                        }
-                    )
-
-    return everything.select("ids", "x", "z").mapInPandas(shown_rows, shown)
+    def shown(c: int) -> Column:
+        value = F.lit(None) if c >= held else F.coalesce(F.get("z", F.lit(c)), F.lit(0.0))
+        share = max(float(values[c]), 0.0) / trace if trace > 0 else None
+        return F.struct(F.lit(c + 1).alias("component"), value.cast("double").alias("whitened"), F.lit(share).cast("double").alias("explained"))
+
+    made = everything.select("vec_id", F.lit(n).cast("long").alias("n"), _deviation(n, sums).alias("deviation"), F.explode(F.array(*[shown(c) for c in range(k)])).alias("c"))
+    return made.select("vec_id", "c.component", "n", "deviation", "c.whitened", "c.explained", F.lit(error).cast("double").alias("identity_error"))
