@@ -7,9 +7,10 @@ a logistic regression is trained on features scaled by these ratios.  Only featu
 most standard deviations off, get a weight, so the model is small and each task holds all of it.
 
 Ratios and features are taken from all labelled texts, one for each distinct doc_id and text.  Each task
-counts its texts in a table of all features, which it gives away in packed slices, summed slice by
-slice; there are as many tasks as cores, so what is shuffled beside the texts does not grow with them.
-The regression takes a bounded sample of them: up to ``SAMPLE`` texts of each label, those with the
+counts its texts in a table of all features, which it gives away in packed slices; these are summed
+slice by slice, first over a few hundred tasks, then over all.  Texts meet their labels where they are
+read, unless the labels are beyond what may be broadcast, and only repeated texts are shuffled.  The
+regression takes a bounded sample of them: up to ``SAMPLE`` texts of each label, those with the
 smallest hashes, weighted to the shares the labels have over all training rows.
 """
 
@@ -21,10 +22,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import stage, text_of
+from starmill.operators.keys import BROADCAST_BYTES, measured_bytes
 
 ORDERS = (4, 5, 6)
 BITS = 22
@@ -34,6 +37,8 @@ MOST_FEATURES = 1 << 12
 FOLDS = 5
 #: Features of one slice of counts.
 SLICE = 1 << 12
+#: Tasks whose slices are summed at once.
+TASKS_AT_ONCE = 256
 _CHARS_AT_ONCE = 1 << 20
 _MULTIPLIER = np.uint32(0x9E3779B1)
 
@@ -132,9 +137,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if not total:
         return Model(np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.float32), 0.0)
     digest = F.sha2(text_of(), 256).alias("digest")
-    named = stage(docs.select("doc_id", digest).join(known, "doc_id").distinct(), "toxic-digests")
+    by_id = _bounded(known)
+    rows = docs.select("doc_id", digest).join(by_id, "doc_id")
+    named = stage(rows.groupBy("doc_id", "digest", "toxic").agg(F.count("*").alias("copies")), "toxic-digests")
     texts_of = dict(named.groupBy("toxic").count().collect())
     order = (F.xxhash64("doc_id", "digest"), "doc_id", "digest")
+    named, repeated = named.drop("copies"), _bounded(named.where("copies > 1").select("doc_id", "digest"))
     chosen = named.where("toxic = 1").orderBy(*order).limit(sample).unionByName(
         named.where("toxic = 0").orderBy(*order).limit(sample)
     )
@@ -142,10 +150,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # Features are counted and chosen by Spark; the driver sees the chosen ones alone.
     ones, zeros = texts_of.get(1, 0), texts_of.get(0, 0)
     mean = ones / max(ones + zeros, 1)
-    texts = docs.select("doc_id", text_of().alias("text")).join(known, "doc_id").distinct()
-    tasks = texts.select("text", "toxic").coalesce(docs.sparkSession.sparkContext.defaultParallelism)
-    slices = tasks.mapInPandas(_count, "slice int, counts binary").groupBy("slice")
-    held = slices.applyInPandas(_added, "feature long, n1 long, n0 long")
+    texts = docs.select("doc_id", text_of().alias("text"), digest).join(by_id, "doc_id")
+    single = texts.join(repeated, ["doc_id", "digest"], "left_anti").select("text", "toxic")
+    copied = texts.join(repeated, ["doc_id", "digest"], "left_semi").groupBy("doc_id", "digest").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic"))
+    counted = single.unionByName(copied.select("text", "toxic")).mapInPandas(_count, "slice int, tasks int, counts binary")
+    parts = counted.groupBy("slice", "tasks").applyInPandas(_added, "slice int, counts binary")
+    held = parts.groupBy("slice").applyInPandas(_enough, "feature long, n1 long, n0 long")
     expected = (F.col("n1") + F.col("n0")) * mean
     off = F.abs(F.col("n1") - expected) / F.sqrt(expected * (1 - mean) + 1)
     kept = held.orderBy(off.desc(), "feature").limit(MOST_FEATURES)
@@ -171,23 +181,39 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return fit(features, ratio, found, rows["toxic"].to_numpy(), counts.get(1, 0) / total)
 
 
+def _bounded(table: DataFrame) -> DataFrame:
+    """``table``, to be broadcast where its measured size allows it."""
+    return F.broadcast(table) if measured_bytes(table) <= BROADCAST_BYTES else table
+
+
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """How many of the task's texts of each label hold a feature: one packed row per slice of features."""
     held = np.zeros((2, 1 << BITS), dtype=np.int32)
     for batch in batches:
         for text, label in zip(batch["text"], batch["toxic"], strict=True):
             held[int(label), _hits(text, None)] += 1
+    tasks = TaskContext.get().partitionId() // TASKS_AT_ONCE
     for at in range(0, 1 << BITS, SLICE):
         part = held[:, at : at + SLICE]
         if part.any():
-            yield pd.DataFrame({"slice": [at // SLICE], "counts": [zlib.compress(part.tobytes(), 1)]})
+            yield pd.DataFrame({"slice": [at // SLICE], "tasks": [tasks], "counts": [_packed(part)]})
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype(np.int64).tobytes(), 1)
+
+
+def _total(frame: pd.DataFrame) -> np.ndarray:
+    return sum(np.frombuffer(zlib.decompress(packed), dtype=np.int64) for packed in frame["counts"]).reshape(2, -1)
 
 
 def _added(frame: pd.DataFrame) -> pd.DataFrame:
-    """The sums of one slice, a row for each feature of enough texts."""
-    total = np.zeros((2, SLICE), dtype=np.int64)
-    for packed in frame["counts"]:
-        total += np.frombuffer(zlib.decompress(packed), dtype=np.int32).reshape(2, SLICE)
+    return pd.DataFrame({"slice": frame["slice"].iloc[:1], "counts": [_packed(_total(frame))]})
+
+
+def _enough(frame: pd.DataFrame) -> pd.DataFrame:
+    """A row for each feature of a slice that is in enough texts."""
+    total = _total(frame)
     at = np.flatnonzero(total.sum(axis=0) >= LEAST_TEXTS)
     return pd.DataFrame({"feature": at + int(frame["slice"].iloc[0]) * SLICE, "n1": total[1, at], "n0": total[0, at]})
 
