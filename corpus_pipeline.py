@@ -45,7 +45,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: No stage but the counts of their inputs can be said in SQL; the tests compare with brute force.
+#: The stages cannot be said in SQL.
 ORACLE_SQL = None
 
 
