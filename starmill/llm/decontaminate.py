@@ -1,33 +1,32 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Items of the benchmark are the rows of a TF-IDF matrix whose word weights come from the counts of
-all documents.  A randomised SVD of this matrix, its products summed by Spark over blocks of rows,
-gives a latent space.  Items are taken in blocks of no more than ``RANK``, so the space holds every
-item whole, and the product of an item with a region of a document, folded into it, is exact
-whatever the size of the benchmark.
-
-A document's regions begin every ``STRIDE`` words and are two strides longer than the item; one
-that runs past the end of the text is cut there.  What lies in an item's length and one stride
-lies whole in one of them.  A region is a candidate when its product with the item reaches the
-least that a verified copy can have: no norm of the document and no word outside the benchmark
-takes part, so nothing verifiable is passed over, however many documents there are.  Each word
-carries the most it can add to any product; regions whose words together cannot reach the least
-are passed over.
+Items of the benchmark are the passages of a TF-IDF matrix whose word weights come from the counts
+of all documents.  A randomised SVD of this matrix, its products summed by Spark over blocks of
+passages, gives a latent space of ``RANK`` dimensions, however many items there are.
+
+A document's regions begin every few words and are somewhat longer than the item, by how much
+follows from the item's length (``length_class``).  Folded into the space, a region is a candidate
+when its cosine with an item reaches ``COSINE``.  Before that, each word carries the most it can add
+to a verified copy of any item; regions whose words together cannot reach a verified copy are not
+folded, which loses nothing.
 
 Each candidate is then verified on words: the longest common subsequence of the item and the region
 must cover ``SAME`` of the item, or ``LIKE`` of it when the region holds the item's answer, its
-last ``ANSWER`` words, as a subsequence too.  Items of fewer than ``LEAST_WORDS`` words are searched
-word for word instead.
+last ``ANSWER`` words, as a subsequence too.
+
+Copies word for word do not depend on a cosine: beside the search, each place of an item's rarest
+pair of neighbouring words is compared with the whole item.  Items of fewer than ``LEAST_WORDS``
+words are found in this way only.
 
 The benchmark is a stated, bounded set of queries.  The documents are read once into word numbers
-and searched once per block.
+and searched once, for all items together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import groupby, repeat
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,8 +35,8 @@ from pyspark.sql import functions as F
 
 from starmill.llm.common import ROW, stage, text_of, with_row_key
 
-STRIDE = 16
-RANK = 512
+RANK = 128
+COSINE = 0.4
 SPARE = 16
 SAME = 0.8
 LIKE = 0.6
@@ -45,7 +44,13 @@ ANSWER = 5
 LEAST_WORDS = 5
 _ROWS = 2000
 _CHUNK = 256
-_REGIONS = 1024
+_MEMBERS = 32
+_BITS = 256
+# Documents begin at multiples of the longest stride, so that regions of any class begin there too.
+_LONGEST_STRIDE = 64
+# Words searched at a time, a multiple of the longest stride, and words of documents taken together.
+_WORDS = 1 << 14
+_TOGETHER = 1 << 19
 # ASCII letters and digits, and all that is not ASCII, make words.
 _TO_SPACE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -55,11 +60,15 @@ def words(text: str) -> list[bytes]:
 
 
 def length_class(n: int) -> int:
-    """``n`` or somewhat more, a multiple of ``STRIDE``; items of one class share their regions."""
-    step = max(STRIDE, 1 << max(n.bit_length() - 3, 0))
+    """``n`` or somewhat more; items of one class share their regions."""
+    step = _step(n)
     return -(-n // step) * step
 
 
+def _step(n: int) -> int:
+    return max(4, 1 << max(n.bit_length() - 3, 0))
+
+
 # --- the benchmark as a latent space ---------------------------------------------------
 
 
@@ -69,9 +78,12 @@ class Index:
 
     ``vocabulary``: word to number.  ``space``: words by dimensions, weighted; the last row, zero,
     is that of words outside.  ``latent``: one row per item, divided by the least product of a
-    verified copy, so that 1 is the threshold.  ``most``: the most a word adds to a product with
-    any of them.  ``items``: id and word numbers of each item.  ``classes``: length of a class and
-    its items.  ``short``: items that are searched word for word.
+    verified copy.  ``most``: the most a word adds to a full product with any of them, in shares of
+    that least.  ``items``: id and word numbers of each item, short ones last.  ``classes``: words of a region, words between regions, some items of
+    one class, and ``most`` for them alone.
+    ``anchors``: sorted pairs of words, and for each pair the items (with the pair's place in it)
+    that it is the rarest of; ``starts``: whether a word begins such a pair.  ``marks``: words of each
+    searched item by number modulo ``_BITS``; ``sizes``: its length.
     """
 
     vocabulary: dict[bytes, int]
@@ -79,8 +91,11 @@ class Index:
     latent: np.ndarray
     most: np.ndarray
     items: list[tuple[int, np.ndarray]]
-    classes: list[tuple[int, np.ndarray]]
-    short: list[tuple[int, np.ndarray]]
+    classes: list[tuple[int, int, np.ndarray, np.ndarray]]
+    anchors: tuple[np.ndarray, list[list[tuple[int, int]]]]
+    starts: np.ndarray
+    marks: np.ndarray
+    sizes: np.ndarray
 
 
 def least_product(weights: np.ndarray) -> float:
@@ -149,22 +164,49 @@ def _right_space(spark: SparkSession, rows: list[np.ndarray], idf: np.ndarray, r
     return basis @ vectors[:, np.argsort(-values)[:rank]]
 
 
+def _anchors(items: list[tuple[int, np.ndarray]], idf: np.ndarray) -> tuple[np.ndarray, list[list[tuple[int, int]]]]:
+    """Each item's rarest pair of neighbouring words; the only word of an item is paired with none."""
+    width, found = len(idf) + 1, {}
+    for number, (_, ids) in enumerate(items):
+        place = int(np.argmax(idf[ids[:-1]] + idf[ids[1:]])) if len(ids) > 1 else 0
+        second = int(ids[place + 1]) if len(ids) > 1 else width
+        found.setdefault(int(ids[place]) * (width + 1) + second, []).append((number, place))
+    pairs = np.array(sorted(found), dtype=np.int64)
+    return pairs, [found[pair] for pair in pairs.tolist()]
+
+
 def build_index(spark: SparkSession, items: list[tuple[int, np.ndarray]], vocabulary: dict[bytes, int], counts: np.ndarray, total: int, rank: int = RANK) -> Index:
-    """The index of one block of items; ``counts``: documents that hold each word, of ``total``."""
+    """The index of all items; ``counts``: documents that hold each word, of ``total``."""
     idf = np.log((total + 1.0) / (counts + 1.0)) + 0.1
-    short = [item for item in items if len(item[1]) < LEAST_WORDS]
-    items = [item for item in items if len(item[1]) >= LEAST_WORDS]
-    if not items:
+    items = sorted(items, key=lambda item: len(item[1]) < LEAST_WORDS)
+    rows = [ids for _, ids in items if len(ids) >= LEAST_WORDS]
+    anchors = _anchors(items, idf)
+    starts = np.zeros(len(idf) + 1, dtype=bool)
+    starts[anchors[0] // (len(idf) + 2)] = True
+    if not rows:
         empty = np.zeros((len(idf) + 1, 1), dtype=np.float32)
-        return Index(vocabulary, empty, empty[:0], empty[:, 0].astype(np.float64), items, [], short)
-    rows = [ids for _, ids in items]
+        return Index(vocabulary, empty, empty[:0], np.zeros(len(idf) + 1), items, [], anchors, starts, np.zeros((0, _BITS), np.uint16), np.zeros(0))
     space = _right_space(spark, rows, idf, rank) * idf[:, None]
-    latent = _times(rows, space) / np.array([least_product(idf[ids] ** 2) for ids in rows])[:, None]
-    space, latent = np.vstack([space, np.zeros(space.shape[1])]).astype(np.float32), latent.astype(np.float32)
-    most = np.concatenate([(space[i : i + _ROWS] @ latent.T).max(axis=1) for i in range(0, len(space), _ROWS)])
-    sizes = np.array([length_class(len(ids)) for ids in rows])
-    classes = [(int(size), np.flatnonzero(sizes == size)) for size in np.unique(sizes)]
-    return Index(vocabulary, space, latent, np.maximum(most, 0).astype(np.float64), items, classes, short)
+    least = np.array([least_product(idf[ids] ** 2) for ids in rows])
+    latent = _times(rows, space) / least[:, None]
+    space = np.vstack([space, np.zeros(space.shape[1])]).astype(np.float32)
+
+    def most_of(members: np.ndarray) -> np.ndarray:
+        most = np.zeros(len(idf) + 1)
+        for number in members.tolist():
+            held, times = np.unique(rows[number], return_counts=True)
+            most[held] = np.maximum(most[held], idf[held] ** 2 * times / least[number])
+        return most
+
+    marks = np.stack([np.bincount(ids % _BITS, minlength=_BITS).astype(np.uint16) for ids in rows])
+    lengths = np.array([len(ids) for ids in rows])
+    sizes = np.array([length_class(n) for n in lengths.tolist()])
+    classes = []
+    for size in np.unique(sizes).tolist():
+        members = np.flatnonzero(sizes == size)
+        for some in np.split(members, range(_MEMBERS, len(members), _MEMBERS)):
+            classes.append((size + 3 * _step(size), min(_step(size), _LONGEST_STRIDE), some, most_of(some)))
+    return Index(vocabulary, space, latent.astype(np.float32), most_of(np.arange(len(rows))), items, classes, anchors, starts, marks, lengths)
 
 
 # --- verification ------------------------------------------------------------------------
@@ -194,63 +236,139 @@ def verified(item: np.ndarray, region: np.ndarray) -> tuple[float, bool] | None:
     return (share, answered) if share >= SAME or (share >= LIKE and answered) else None
 
 
-def _word_for_word(ids: np.ndarray, item: np.ndarray) -> int | None:
-    """Where the item's words first follow each other in the document."""
-    n = len(ids) - len(item) + 1
-    if n < 1:
-        return None
-    here = np.ones(n, dtype=bool)
-    for i, word in enumerate(item):
-        here &= ids[i : i + n] == word
-    return int(here.argmax()) if here.any() else None
-
-
-def candidates(ids: np.ndarray, index: Index) -> Iterator[tuple[int, int, float]]:
-    """Item number, first word of the region and cosine, for every region that may hold an item."""
-    longest = max((size for size, _ in index.classes), default=0) // STRIDE + 2
-    lengths = np.linalg.norm(index.latent, axis=1)
-    n_regions = -(-len(ids) // STRIDE)
-    for at in range(0, n_regions if index.classes else 0, _REGIONS):
-        part = ids[at * STRIDE : (at + _REGIONS + longest) * STRIDE]
-        # Each word once per stride: an item's product counts how often the item has it.
-        width = len(index.space)
-        keys = np.unique(np.arange(len(part)) // STRIDE * width + part)
-        part, edges = keys % width, np.searchsorted(keys, np.arange(-(-len(part) // STRIDE)) * width)
-        # A little is added against rounding in what the bound leaves out.
-        most = np.concatenate([[0.0], np.cumsum(np.add.reduceat(index.most[part], edges))]) * 1.001
-        starts, sums = np.arange(min(_REGIONS, n_regions - at)), None
-        for size, members in index.classes:
-            ends = np.minimum(starts + size // STRIDE + 2, len(edges))
-            likely = np.flatnonzero(most[ends] - most[starts] >= 0.999)
-            if not len(likely):
+# --- search ------------------------------------------------------------------------------
+
+
+@dataclass
+class Stream:
+    """Documents one after another, each padded with words outside to a multiple of the longest stride."""
+
+    ids: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray], outside: int) -> Stream:
+        sizes = np.array([len(ids) for ids in docs], dtype=np.int64)
+        padded = np.maximum(-(-sizes // _LONGEST_STRIDE), 1) * _LONGEST_STRIDE
+        begins = np.cumsum(padded) - padded
+        ids = np.full(int(padded.sum()), outside, dtype=np.int32)
+        for begin, doc in zip(begins.tolist(), docs, strict=True):
+            ids[begin : begin + len(doc)] = doc
+        return cls(ids, begins, begins + sizes)
+
+    def doc_at(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.begins, places, side="right") - 1
+
+
+def word_for_word(stream: Stream, index: Index) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """Documents, item number and first words of whole copies."""
+    pairs, held_by = index.anchors
+    places = np.flatnonzero(index.starts[stream.ids])
+    if not len(places):
+        return
+    width = len(index.space)
+    first = stream.ids[places].astype(np.int64) * (width + 1)
+    for keys in (first + np.append(stream.ids, width)[places + 1], first + width):
+        at = np.minimum(np.searchsorted(pairs, keys), len(pairs) - 1)
+        met = np.flatnonzero(pairs[at] == keys)
+        if not len(met):
+            continue
+        met = met[np.argsort(at[met], kind="stable")]
+        used, cuts = np.unique(at[met], return_index=True)
+        for pair, group in zip(used.tolist(), np.split(places[met], cuts[1:]), strict=True):
+            docs = stream.doc_at(group)
+            for number, offset in held_by[pair]:
+                item, begins = index.items[number][1], group - offset
+                held = np.flatnonzero((begins >= stream.begins[docs]) & (begins + len(item) <= stream.ends[docs]))
+                for i, word in enumerate(item.tolist()):
+                    held = held[stream.ids[begins[held] + i] == word]
+                if len(held):
+                    yield docs[held], number, begins[held]
+
+
+def near_regions(stream: Stream, index: Index, cosine: float = COSINE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Item numbers, first words, ends and cosines of the regions near an item in the latent space."""
+    outside = len(index.space) - 1
+    longest = max((size for size, *_ in index.classes), default=0)
+    latent = index.latent / np.maximum(np.linalg.norm(index.latent, axis=1), 1e-12)[:, None]
+    grain = np.repeat(stream.ends, np.diff(np.append(stream.begins, len(stream.ids))) // 4)
+    for at in range(0, len(stream.ids) if index.classes else 0, _WORDS):
+        part = stream.ids[at : at + _WORDS + longest]
+        known = part != outside
+        upto = np.concatenate([[0], np.cumsum(known)])
+        held = part[known]
+        likely = []
+        covered = np.zeros(len(part) + 1, dtype=np.int32)
+        for size, stride, members, most in index.classes:
+            starts = np.arange(0, min(_WORDS, len(stream.ids) - at), stride)
+            ends = np.maximum(np.minimum(starts + size, grain[(at + starts) // 4] - at), starts)
+            # A little is added against rounding in what the bound leaves out.
+            reach = np.concatenate([[0.0], np.cumsum(most[held])]) * 1.001
+            some = np.flatnonzero(reach[upto[ends]] - reach[upto[starts]] >= 0.999)
+            if len(some):
+                likely.append((members, starts[some], ends[some]))
+                np.add.at(covered, starts[some], 1)
+                np.subtract.at(covered, ends[some], 1)
+        if not likely:
+            continue
+        folds = known & (np.cumsum(covered[:-1]) > 0)
+        upto = np.concatenate([[0], np.cumsum(folds)])
+        sums = np.concatenate([np.zeros((1, index.space.shape[1])), np.cumsum(index.space[part[folds]], axis=0, dtype=np.float64)])
+        for members, starts, ends in likely:
+            folded = (sums[upto[ends]] - sums[upto[starts]]).astype(np.float32)
+            folded /= np.maximum(np.linalg.norm(folded, axis=1), 1e-12)[:, None]
+            cosines = folded @ latent[members].T
+            r, c = np.nonzero(cosines >= cosine)
+            if len(r):
+                held = _shares_words(part, folds, starts, ends, r, c, index.marks[members], index.sizes[members])
+                yield members[c[held]], at + starts[r[held]], at + ends[r[held]], cosines[r[held], c[held]]
+
+
+def _shares_words(part: np.ndarray, known: np.ndarray, starts: np.ndarray, ends: np.ndarray, r: np.ndarray, c: np.ndarray, marks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Pairs of region ``r`` and item ``c`` that may share ``LIKE`` of the item's words: words are
+    told apart by their number modulo ``_BITS`` alone, which can only overstate what is shared."""
+    used, row = np.unique(r, return_inverse=True)
+    sizes_of = ends[used] - starts[used]
+    rows = np.repeat(np.arange(len(used)), sizes_of)
+    places = np.arange(len(rows)) - np.repeat(np.cumsum(sizes_of) - sizes_of - starts[used], sizes_of)
+    rows, places = rows[known[places]], places[known[places]]
+    bits = np.zeros((len(used), _BITS), dtype=np.float32)
+    bits[rows, part[places] % _BITS] = 1
+    shared = bits @ marks.T.astype(np.float32)
+    return np.flatnonzero(shared[row, c] >= LIKE * sizes[c] - 1e-3)
+
+
+def search(docs: list[np.ndarray], index: Index, cosine: float = COSINE) -> list[tuple[int, int, int, float, float, bool]]:
+    """Items found in documents (word numbers): document, item id, first word, cosine, share, answered."""
+    stream = Stream.of(docs, len(index.space) - 1)
+    best: dict[tuple[int, int], tuple[int, float, float, bool]] = {}
+    for found, number, begins in word_for_word(stream, index):
+        for doc, begin in zip(found.tolist(), begins.tolist(), strict=True):
+            first = begin - int(stream.begins[doc])
+            if (doc, number) not in best or first < best[doc, number][0]:
+                best[doc, number] = (first, 1.0, 1.0, True)
+    whole = set(best)
+    regions = [np.concatenate(column) for column in zip(*near_regions(stream, index, cosine), strict=True)]
+    if regions:
+        numbers, begins, ends, cosines = regions
+        near = zip(stream.doc_at(begins).tolist(), numbers.tolist(), begins.tolist(), ends.tolist(), cosines.tolist(), strict=True)
+        for doc, number, begin, end, near_by in near:
+            if (doc, number) in whole:
                 continue
-            if sums is None:
-                cuts = [edges[i : i + _ROWS] for i in range(0, len(edges), _ROWS)]
-                strides = np.concatenate([np.add.reduceat(index.space[part[c[0] : end]], c - c[0], axis=0) for c, end in zip(cuts, [*(c[0] for c in cuts[1:]), len(part)], strict=True)])
-                sums = np.concatenate([np.zeros((1, strides.shape[1])), np.cumsum(strides, axis=0, dtype=np.float64)])
-            folded = (sums[ends[likely]] - sums[starts[likely]]).astype(np.float32)
-            products = folded @ index.latent[members].T
-            norms = np.maximum(np.linalg.norm(folded, axis=1), 1e-12)
-            r, m = np.nonzero(products >= 0.999)
-            cosines = products[r, m] / norms[r] / lengths[members[m]]
-            yield from zip(members[m].tolist(), ((at + likely[r]) * STRIDE).tolist(), cosines.tolist(), strict=True)
+            item, region = index.items[number][1], stream.ids[begin:end]
+            held = verified(item, region)
+            if held:
+                first = begin - int(stream.begins[doc])
+                key = (held[0], near_by, -first)
+                if (doc, number) not in best or key > (best[doc, number][2], best[doc, number][1], -best[doc, number][0]):
+                    best[doc, number] = (first, near_by, *held)
+    return [(doc, index.items[number][0], *evidence) for (doc, number), evidence in best.items()]
 
 
 def leaks(ids: np.ndarray, index: Index) -> list[tuple[int, int, float, float, bool]]:
-    """Items found in a document (word numbers): item, first word of the region, cosine, share, answered."""
-    found = [(item_id, _word_for_word(ids, item), 1.0, 1.0, True) for item_id, item in index.short]
-    found = [leak for leak in found if leak[1] is not None]
-    best: dict[int, tuple[int, int, float, float, bool]] = {}
-    # Items one after another, so that the likeliest region of each is verified first.
-    for number, regions in groupby(sorted(candidates(ids, index), key=lambda c: (c[0], -c[2], c[1])), key=lambda c: c[0]):
-        item_id, item = index.items[number]
-        for _, first, cosine in regions:
-            held = verified(item, ids[first : first + len(item) + 2 * STRIDE])
-            if held and (number not in best or held[0] > best[number][3]):
-                best[number] = (item_id, first, cosine, *held)
-            if number in best and best[number][3] == 1.0:
-                break
-    return found + list(best.values())
+    """Items found in one document (word numbers): item, first word, cosine, share, answered."""
+    return [found[1:] for found in search([ids], index)]
 
 
 # --- over all documents ------------------------------------------------------------------
@@ -273,12 +391,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> Dat
     listed = [(i, w) for i, w in listed if w]
     vocabulary = {word: i for i, word in enumerate(sorted({w for _, ws in listed for w in ws}))}
     items = [(i, np.array([vocabulary[w] for w in ws], dtype=np.int32)) for i, ws in listed]
-    out = spark.createDataFrame([], _FOUND)
-    if items:
-        numbered, counts, total = _numbered(docs, vocabulary)
-    for at in range(0, len(items), rank):
-        found = _block(numbered, items[at : at + rank], counts, total)
-        out = stage(out.unionByName(found) if at else found, "leaks")
+    if not items:
+        return spark.createDataFrame([], _FOUND)
+    numbered, counts, total = _numbered(docs, vocabulary)
+    index = build_index(spark, items, {}, counts, total, rank)
+    out = numbered.mapInPandas(_searcher(index), _FOUND)
     best = F.max_by(F.struct("first_word", "cosine", "share", "answered"), F.struct("share", "cosine", -F.col("first_word")))
     return out.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
 
@@ -311,26 +428,30 @@ def _numbered(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[DataFrame,
     return numbered, counts[:-1], int(counts[-1])
 
 
-def _block(numbered: DataFrame, items: list[tuple[int, np.ndarray]], counts: np.ndarray, total: int) -> DataFrame:
-    """What the documents hold of one block of items, whose words are numbered anew."""
-    held = np.unique(np.concatenate([ids for _, ids in items]))
-    place = np.full(len(counts) + 1, len(held), dtype=np.int32)
-    place[held] = np.arange(len(held))
-    items = [(i, place[ids]) for i, ids in items]
-    index = build_index(numbered.sparkSession, items, {}, counts[held], total, len(items))
+def _searcher(index: Index) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A mapInPandas function: what the documents hold of the items, some documents at a time."""
+    names = [field.split()[0] for field in _FOUND.split(", ")]
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [field.split()[0] for field in _FOUND.split(", ")]
+    def together(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[np.ndarray]]]:
+        doc_ids, docs, n = [], [], 0
         for batch in batches:
-            rows = [
-                (doc_id, *leak)
-                for doc_id, ids in zip(batch["doc_id"], batch["ids"], strict=True)
-                for leak in leaks(place[np.frombuffer(ids, "<i4")], index)
-            ]
+            for doc_id, ids in zip(batch["doc_id"], batch["ids"], strict=True):
+                doc_ids.append(doc_id)
+                docs.append(np.frombuffer(ids, "<i4"))
+                n += len(docs[-1]) + _LONGEST_STRIDE
+                if n >= _TOGETHER:
+                    yield doc_ids, docs
+                    doc_ids, docs, n = [], [], 0
+        if docs:
+            yield doc_ids, docs
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for doc_ids, docs in together(batches):
+            rows = [(doc_ids[doc], *evidence) for doc, *evidence in search(docs, index)]
             if rows:
                 yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
-    return numbered.mapInPandas(search, _FOUND)
+    return run
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
