@@ -8,8 +8,10 @@ from starmill.llm import decontaminate as D
 
 def brute(doc, items):
     """Items that some window of the document verifies, every window of an item's length and half."""
-    found = set()
+    found, held = set(), set(doc.tolist())
     for i, item in items:
+        if sum(w in held for w in item.tolist()) < D.LIKE * len(item):
+            continue  # no window can share more with the item than the document does
         n = len(item) + len(item) // 2
         if any(D.verified(item, doc[at : at + n]) for at in range(max(1, len(doc) - len(item) + 1))):
             found.add(i)
@@ -38,7 +40,7 @@ def test_recall_on_reworded_items_below_full_rank(spark, kind):
     weights /= weights.sum()
     prose = lambda n: rng.choice(1200, n, p=weights).astype(np.int32)
     items = [(i, prose(int(n))) for i, n in enumerate(rng.integers(15, 60, 300))]
-    docs = [prose(int(n)) for n in rng.integers(30, 250, 80)]
+    docs = [prose(int(n)) for n in rng.integers(30, 120, 64)]
     for at, doc in enumerate(docs[::2]):
         cut = int(rng.integers(0, len(doc)))
         docs[2 * at] = np.concatenate([doc[:cut], reworded(rng, items[7 * at][1], kind, doc), doc[cut:]])
@@ -47,7 +49,7 @@ def test_recall_on_reworded_items_below_full_rank(spark, kind):
     assert index.space.shape[1] == 100 < len(items)
     want = {(d, i) for d, doc in enumerate(docs) for i in brute(doc, items)}
     got = {(d, i) for d, i, *_ in D.search(docs, index)}
-    assert len(want) >= 30
+    assert len(want) >= 25
     assert len(want & got) >= 0.9 * len(want)
     # What the search adds was verified on a region; nothing else is reported.
     for d, i, first, cosine, share, answered in D.search(docs, index):
