@@ -602,6 +602,25 @@ ORACLES["load_summary"] = _LOADS + " UNION ALL ".join(
     ]
 )
 
+ORACLES["rollups_after_loads"] = _LOADS + (
+    ", facts AS (SELECT * FROM a_fact UNION ALL SELECT * FROM b_fact "
+    "WHERE NOT EXISTS (SELECT 1 FROM a_fact WHERE a_fact.JOB_ID = b_fact.JOB_ID)), "
+    "jobs AS (SELECT JOB_ID, experience_level, employment_type FROM a_first UNION ALL "
+    "SELECT JOB_ID, experience_level, employment_type FROM b_first "
+    "WHERE NOT EXISTS (SELECT 1 FROM a_first WHERE a_first.JOB_ID = b_first.JOB_ID)), "
+    "pairs AS (SELECT JOB_ID, SKILL_NAME FROM a_bridge UNION SELECT JOB_ID, SKILL_NAME FROM b_bridge) "
+    "SELECT 'month' AS rollup, CAST(DATE_KEY // 10000 AS VARCHAR) AS a, "
+    "CAST(DATE_KEY // 100 % 100 AS VARCHAR) AS b, count(*) AS postings, "
+    "CAST(NULL AS BIGINT) AS remote_postings FROM facts WHERE DATE_KEY IS NOT NULL GROUP BY ALL "
+    "UNION ALL SELECT 'company', COMPANY_NAME, NULL, count(*), NULL FROM facts "
+    "WHERE COMPANY_NAME IS NOT NULL GROUP BY COMPANY_NAME "
+    "UNION ALL SELECT 'city', CITY, NULL, count(*), count(*) FILTER (WHERE IS_REMOTE) FROM facts "
+    "WHERE NOT (CITY IS NULL AND LOCATION IS NULL) GROUP BY CITY "
+    "UNION ALL SELECT 'skill', SKILL_NAME, NULL, count(*), NULL FROM pairs GROUP BY SKILL_NAME "
+    "UNION ALL SELECT 'level', experience_level, employment_type, count(*), NULL FROM jobs "
+    "GROUP BY experience_level, employment_type"
+)
+
 # --- reads over the star ---------------------------------------------------------------
 
 ORACLES["q1_postings_per_month"] = with_raw(

@@ -13,7 +13,7 @@ from starmill.functions import classify, dates
 from starmill.functions import text as T
 from starmill.operators import dedup, keys, quality
 from starmill.operators.schema import align, upper_names
-from starmill.plans import analytics, bronze, gold, silver
+from starmill.plans import analytics, bronze, gold, rollups, silver
 from starmill.plans import run as runs
 from starmill.session import configure
 from starmill.sources import landing, tables
@@ -552,6 +552,31 @@ def incremental_load(spark, sf_dir):
     return _resolved_facts(store.tables())
 
 
+@query
+def rollups_after_loads(spark, sf_dir):
+    """Rollups kept up through two loads and a repeated refresh, all in one table."""
+    history, newer = fixtures.history_and_batch(spark, sf_dir)
+    store = _new_store(spark)
+    kept = rollups.Rollups(store)
+    for postings in (history, history.unionByName(newer)):
+        gold.load(tables.stage(silver.silver(postings, ORDER, keep=ORDER), "silver"), store, ORDER)
+        kept.refresh()
+    kept.refresh()
+    remote = F.lit(None).cast("bigint").alias("remote_postings")
+
+    def shown(rollup, rows, a, b, remote=remote):
+        return rows.select(F.lit(rollup).alias("rollup"), a.cast("string").alias("a"), b.cast("string").alias("b"), "postings", remote)
+
+    c, none = F.col, F.lit(None)
+    return (
+        shown("month", kept.postings_per_month(), c("POSTED_YEAR"), c("POSTED_MONTH"))
+        .unionByName(shown("company", kept.postings_per_company(), c("COMPANY_NAME"), none))
+        .unionByName(shown("city", kept.postings_per_city(), c("CITY"), none, c("remote_postings")))
+        .unionByName(shown("skill", kept.postings_per_skill(), c("SKILL_NAME"), none))
+        .unionByName(shown("level", kept.levels_by_employment(), c("EXPERIENCE_LEVEL"), c("EMPLOYMENT_TYPE")))
+    )
+
+
 @query
 def load_summary(spark, sf_dir):
     return _two_loads(spark, sf_dir)[1]
