@@ -23,13 +23,15 @@ BUCKET_DIGITS = 4
 # --- insert-only -----------------------------------------------------------------------
 
 
-def _against(rows: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool, how: str) -> DataFrame:
-    theirs = existing.select(*[F.col(c).alias(f"__e_{c}") for c in on])
+def _against(
+    rows: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool, how: str, payload: Sequence[str] = ()
+) -> DataFrame:
+    theirs = existing.select(*[F.col(c).alias(f"__e_{c}") for c in on], *payload)
     condition = F.lit(True)
     for name in on:
         a, b = rows[name], theirs[f"__e_{name}"]
         condition = condition & (a.eqNullSafe(b) if null_safe else a == b)
-    return rows.join(theirs, condition, how)
+    return rows.join(theirs, condition, how).drop(*[f"__e_{c}" for c in on])
 
 
 def absent(rows: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -42,6 +44,12 @@ def present(rows: DataFrame, existing: DataFrame, on: Sequence[str], null_safe:
     return _against(rows, existing, on, null_safe, "left_semi")
 
 
+def marked(rows: DataFrame, existing: DataFrame, on: Sequence[str], mark: str, null_safe: bool = False) -> DataFrame:
+    """All rows, and in ``mark`` whether their key is in ``existing``, which is unique by ``on``."""
+    theirs = existing.select(*on, F.lit(True).alias(mark))
+    return _against(rows, theirs, on, null_safe, "left", [mark]).withColumn(mark, F.col(mark).isNotNull())
+
+
 # --- surrogate keys --------------------------------------------------------------------
 
 

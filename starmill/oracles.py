@@ -576,7 +576,7 @@ def _summary(table: str, new: str, old: str, on: str, offered: str | None = None
     offered = offered or f"(SELECT count(*) FROM {new})"
     return (
         f"SELECT '{table}' AS table_name, {inserted} AS inserted, "
-        f"{offered} - {inserted} AS existed"
+        f"{offered} - {inserted} AS existed, CAST(0 AS BIGINT) AS missed"
     )
 
 
@@ -602,6 +602,24 @@ ORACLES["load_summary"] = _LOADS + " UNION ALL ".join(
     ]
 )
 
+_NO_JOB = "NOT EXISTS (SELECT 1 FROM a_first o WHERE o.JOB_ID = n.JOB_ID)"
+_NO_SKILL = "NOT EXISTS (SELECT 1 FROM a_skill o WHERE o.SKILL_NAME = n.SKILL_NAME)"
+ORACLES["load_missed"] = _LOADS + (
+    "SELECT 'FACT_JOBS' AS table_name, JOB_ID, CAST(NULL AS VARCHAR) AS SKILL_NAME, count(*) AS offered "
+    f"FROM b_rows n WHERE {_NO_JOB} GROUP BY JOB_ID "
+    "UNION ALL SELECT 'BRIDGE_JOB_SKILL', JOB_ID, SKILL_NAME, count(*) "
+    f"FROM b_mention n WHERE {_NO_JOB} OR {_NO_SKILL} GROUP BY JOB_ID, SKILL_NAME"
+)
+ORACLES["load_summary_missed"] = _LOADS + (
+    "SELECT 'FACT_JOBS' AS table_name, inserted, offered - inserted - missed AS existed, missed FROM ("
+    f"SELECT count(*) AS offered, count(*) FILTER (WHERE {_NO_JOB}) AS missed, "
+    f"count(DISTINCT JOB_ID) FILTER (WHERE NOT {_NO_JOB}) AS inserted FROM b_rows n) "
+    "UNION ALL SELECT 'BRIDGE_JOB_SKILL', inserted, offered - inserted - missed, missed FROM ("
+    f"SELECT count(*) AS offered, count(*) FILTER (WHERE {_NO_JOB} OR {_NO_SKILL}) AS missed, "
+    "count(DISTINCT {'j': JOB_ID, 's': SKILL_NAME}) "
+    f"FILTER (WHERE NOT ({_NO_JOB} OR {_NO_SKILL})) AS inserted FROM b_mention n)"
+)
+
 ORACLES["rollups_after_loads"] = _LOADS + (
     ", facts AS (SELECT * FROM a_fact UNION ALL SELECT * FROM b_fact "
     "WHERE NOT EXISTS (SELECT 1 FROM a_fact WHERE a_fact.JOB_ID = b_fact.JOB_ID)), "

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import NamedTuple, TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +20,9 @@ from starmill.functions import dates
 from starmill.functions import text as T
 from starmill.operators import dedup, keys
 from starmill.operators.schema import require_columns, upper_names
-from starmill.sources.tables import StarStore
+from starmill.sources.tables import StarStore, stage_counted
+
+T_ = TypeVar("T_")
 
 SCHEMAS = {
     "DIM_COMPANY": "COMPANY_KEY bigint, COMPANY_NAME string",
@@ -134,33 +138,95 @@ def fact_rows(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return first.drop(*[o.upper() for o in order])
 
 
-# --- new rows of one load --------------------------------------------------------------
+# --- one load --------------------------------------------------------------------------
 
+_KNOWN = "__known"
 
-def new_dimension_rows(
-    batch: DataFrame, existing: DataFrame, natural: Sequence[str], key: str, null_safe: bool = False
-) -> DataFrame:
-    """Natural keys not loaded yet, numbered on from the highest key in use."""
-    fresh = keys.absent(batch, existing, natural, null_safe)
-    return keys.number_keys(fresh, natural, key, start=keys.highest_key(existing, key))
+
+class Counts(NamedTuple):
+    """What a load offered to a table, what it inserted, and what it left out for want of a key."""
+
+    offered: int
+    inserted: int
+    missed: int = 0
+
+    @property
+    def existed(self) -> int:
+        return self.offered - self.inserted - self.missed
 
 
-def new_jobs(rows: DataFrame, existing: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Numbering runs on the ids alone, and only rows of new ids are ranked and shuffled."""
-    ids = new_dimension_rows(rows.select("JOB_ID").distinct(), existing, ["JOB_ID"], "JOB_KEY")
-    fresh = rows.join(ids.select("JOB_ID"), "JOB_ID", "left_semi")
-    return jobs(fresh, order).join(ids, "JOB_ID")
+class Loaded(NamedTuple):
+    """Counts per table, and the rows left out: table, job, skill, and how often they were offered."""
 
+    counts: dict[str, Counts]
+    missed: DataFrame
+
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def new_keys(
+    batch: DataFrame, existing: DataFrame, natural: Sequence[str], null_safe: bool = False
+) -> tuple[DataFrame, Counts]:
+    """The rows of a batch, unique by ``natural``, that are not loaded yet; stored and counted."""
+    known = keys.marked(batch, existing, natural, _KNOWN, null_safe)
+    fresh, n = stage_counted(
+        known, "new-keys", ~F.col(_KNOWN), offered=_rows(), inserted=F.count_if(~F.col(_KNOWN))
+    )
+    return fresh.drop(_KNOWN), Counts(**n)
+
+
+def _load_keyed(
+    store: StarStore,
+    name: str,
+    batch: DataFrame,
+    natural: Sequence[str],
+    key: str | None,
+    null_safe: bool = False,
+    completed: Callable[[DataFrame], DataFrame] = lambda numbered: numbered,
+) -> Counts:
+    """Append the batch's new natural keys, numbered on from the highest key in use.
+
+    ``completed`` adds the other columns.  Without new keys nothing is numbered or written.
+    """
+    existing = store.read(name)
+    fresh, counts = new_keys(batch, existing, natural, null_safe)
+    if not counts.inserted:
+        return counts
+    if key is not None:
+        fresh = keys.number_keys(fresh, natural, key, start=keys.highest_key(existing, key))
+    return counts._replace(inserted=store.append(name, completed(fresh)))
+
+
+def offered_jobs(rows: DataFrame, star: dict[str, DataFrame]) -> tuple[DataFrame, dict[str, int]]:
+    """The job ids of a batch with their keys, NULL where there is none, and whether a fact exists.
+
+    Stored and counted.  The batch's own ids decide which jobs are looked at, so neither old jobs
+    nor old facts are compared with each other.
+    """
+    offered = rows.groupBy("JOB_ID").agg(_rows().alias("offered"))
+    keyed = keys.present(star["DIM_JOB"].select("JOB_ID", "JOB_KEY"), offered, ["JOB_ID"])
+    known = keys.marked(offered.join(keyed, "JOB_ID", "left"), star["FACT_JOBS"], ["JOB_KEY"], _KNOWN)
+    no_key = F.col("JOB_KEY").isNull()
+    return stage_counted(
+        known,
+        "offered-jobs",
+        F.lit(True),
+        offered=F.sum("offered"),
+        missed=F.sum(F.when(no_key, F.col("offered"))),
+        open=F.count_if(~no_key & ~F.col(_KNOWN)),
+    )
 
-def new_facts(rows: DataFrame, star: dict[str, DataFrame], order: Sequence[str], **sizes) -> DataFrame:
+
+def new_facts(
+    rows: DataFrame, offered: DataFrame, star: dict[str, DataFrame], order: Sequence[str], **sizes
+) -> DataFrame:
     """Facts of jobs that have none yet, with the keys of their dimensions.
 
-    The batch's own ids decide which jobs are open, so neither old jobs nor old facts are
-    compared with each other; rows of open jobs alone are ranked and meet the dimensions.
+    Only rows of those jobs are ranked and meet the dimensions.
     """
-    offered = rows.select("JOB_ID").distinct()
-    known = star["DIM_JOB"].select("JOB_ID", "JOB_KEY").join(offered, "JOB_ID", "left_semi")
-    open_jobs = keys.absent(known, star["FACT_JOBS"], ["JOB_KEY"])
+    open_jobs = offered.where(F.col("JOB_KEY").isNotNull() & ~F.col(_KNOWN)).select("JOB_ID", "JOB_KEY")
     wanted = rows.join(open_jobs.select("JOB_ID"), "JOB_ID", "left_semi")
     fresh = fact_rows(wanted, order).join(open_jobs, "JOB_ID")
     with_company = keys.lookup(
@@ -185,98 +251,116 @@ def new_facts(rows: DataFrame, star: dict[str, DataFrame], order: Sequence[str],
     )
 
 
-def new_bridge_rows(rows: DataFrame, star: dict[str, DataFrame], **sizes) -> DataFrame:
-    """Pairs of job and skill not linked yet; repeats go before the lookups."""
+def new_pairs(
+    rows: DataFrame, offered: DataFrame, star: dict[str, DataFrame], **sizes
+) -> tuple[DataFrame, dict[str, int]]:
+    """Pairs of job and skill not linked yet, a key NULL where there is none; stored and counted.
+
+    Repeats go before the lookups.
+    """
     mentions = skill_mentions(rows)
     with_skill = keys.lookup(
-        mentions.distinct(),
+        mentions.groupBy("JOB_ID", "SKILL_NAME").agg(_rows().alias("offered")),
         star["DIM_SKILL"],
         ["SKILL_NAME"],
         row_id=["JOB_ID"],
-        how="inner",
         counted_in=mentions.select("SKILL_NAME"),
         **sizes,
     )
-    # After ``distinct`` a job has one row per skill: no id is frequent enough to spread.
-    with_job = with_skill.join(star["DIM_JOB"].select("JOB_ID", "JOB_KEY"), "JOB_ID")
-    return keys.absent(
-        with_job.select("JOB_KEY", "SKILL_KEY"),
-        star["BRIDGE_JOB_SKILL"],
-        ["JOB_KEY", "SKILL_KEY"],
+    # A job has one row per skill by now: no id is frequent enough to spread.
+    with_job = with_skill.join(offered.select("JOB_ID", "JOB_KEY"), "JOB_ID")
+    known = keys.marked(with_job, star["BRIDGE_JOB_SKILL"], ["JOB_KEY", "SKILL_KEY"], _KNOWN)
+    no_key = _no_key()
+    return stage_counted(
+        known,
+        "new-pairs",
+        ~F.col(_KNOWN),
+        offered=F.sum("offered"),
+        missed=F.sum(F.when(no_key, F.col("offered"))),
+        new=F.count_if(~no_key & ~F.col(_KNOWN)),
     )
 
 
-def candidates(rows: DataFrame) -> dict[str, DataFrame]:
-    """What one load offers to each table; fact and bridge count repeats too."""
-    mentions = F.size(T.parse_list(F.col("SKILLS"))).cast("bigint")
-    return {
-        "DIM_COMPANY": companies(rows).agg(F.count(F.lit(1)).alias("n")),
-        "DIM_LOCATION": locations(rows).agg(F.count(F.lit(1)).alias("n")),
-        "DIM_DATE": calendar(rows).agg(F.count(F.lit(1)).alias("n")),
-        "DIM_JOB": rows.select("JOB_ID").distinct().agg(F.count(F.lit(1)).alias("n")),
-        "DIM_SKILL": skills(rows).agg(F.count(F.lit(1)).alias("n")),
-        "FACT_JOBS": rows.agg(F.count(F.lit(1)).alias("n")),
-        "BRIDGE_JOB_SKILL": rows.agg(F.coalesce(F.sum(mentions), F.lit(0)).alias("n")),
-    }
+def _no_key() -> Column:
+    return F.col("JOB_KEY").isNull() | F.col("SKILL_KEY").isNull()
 
 
-def _side_by_side(spark: SparkSession, steps: Sequence[Callable[[], None]]) -> None:
+def _side_by_side(spark: SparkSession, steps: Sequence[Callable[[], T_]]) -> list[T_]:
     """Run independent writes at the same time, so a long tail of one leaves no idle cores."""
     with ThreadPoolExecutor(len(steps)) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
-    for step in running:
-        step.result()
+    return [step.result() for step in running]
+
+
+def load_dimensions(rows: DataFrame, store: StarStore, order: Sequence[str]) -> dict[str, Counts]:
+    """Append what is new to the dimensions."""
+
+    def described(ids: DataFrame) -> DataFrame:
+        # Numbering runs on the ids alone, and only rows of new ids are ranked and shuffled.
+        fresh = rows.join(ids.select("JOB_ID"), "JOB_ID", "left_semi")
+        return jobs(fresh, order).join(ids, "JOB_ID")
+
+    steps = {
+        "DIM_JOB": lambda name: _load_keyed(
+            store, name, rows.select("JOB_ID").distinct(), ["JOB_ID"], "JOB_KEY", completed=described
+        ),
+        "DIM_COMPANY": lambda name: _load_keyed(store, name, companies(rows), ["COMPANY_NAME"], "COMPANY_KEY"),
+        "DIM_LOCATION": lambda name: _load_keyed(
+            store, name, locations(rows), ["CITY", "LOCATION"], "LOCATION_KEY", null_safe=True
+        ),
+        "DIM_SKILL": lambda name: _load_keyed(store, name, skills(rows), ["SKILL_NAME"], "SKILL_KEY"),
+        "DIM_DATE": lambda name: _load_keyed(store, name, calendar(rows), ["DATE_KEY"], None),
+    }
+    done = _side_by_side(store.spark, [partial(step, name) for name, step in steps.items()])
+    return dict(zip(steps, done))
+
+
+def load_facts(rows: DataFrame, store: StarStore, order: Sequence[str], **sizes) -> Loaded:
+    """Append facts and links of which job and skill have a key; the others are counted and kept apart."""
+    star = store.tables()
+    offered, of_jobs = offered_jobs(rows, star)
 
+    def facts() -> int:
+        return store.append("FACT_JOBS", new_facts(rows, offered, star, order, **sizes)) if of_jobs["open"] else 0
 
-def load(silver: DataFrame, store: StarStore, order: Sequence[str], **sizes) -> None:
-    """Append what is new: the dimensions first, then facts and bridge.
+    def links() -> tuple[DataFrame, dict[str, int], int]:
+        pairs, n = new_pairs(rows, offered, star, **sizes)
+        return pairs, n, store.append("BRIDGE_JOB_SKILL", pairs.where(~_no_key())) if n["new"] else 0
+
+    new, (pairs, of_pairs, linked) = _side_by_side(store.spark, [facts, links])
+    counts = {
+        "FACT_JOBS": Counts(of_jobs["offered"], new, of_jobs["missed"]),
+        "BRIDGE_JOB_SKILL": Counts(of_pairs["offered"], linked, of_pairs["missed"]),
+    }
+    left_out = ["JOB_ID", "SKILL_NAME", "offered"]
+    jobs_missed = offered.where("JOB_KEY IS NULL").withColumn("SKILL_NAME", F.lit(None).cast("string"))
+    missed = jobs_missed.select(F.lit("FACT_JOBS").alias("table_name"), *left_out).unionByName(
+        pairs.where(_no_key()).select(F.lit("BRIDGE_JOB_SKILL").alias("table_name"), *left_out)
+    )
+    return Loaded(counts, missed)
+
+
+def load(silver: DataFrame, store: StarStore, order: Sequence[str], **sizes) -> Loaded:
+    """Append what is new: the dimensions first, then facts and links.
 
     Each table is written by one job that either appends all its rows or none, and a rerun
-    after a failure inserts just what is missing.  ``silver`` should be a stored table: every
-    table of the star reads the columns it needs from it.
+    after a failure inserts just what is missing; a table without new rows is not written.
+    ``silver`` should be a stored table: every table of the star reads the columns it needs from it.
     """
     rows = load_input(silver, order)
+    dimensions = load_dimensions(rows, store, order)
+    facts = load_facts(rows, store, order, **sizes)
+    return facts._replace(counts={**dimensions, **facts.counts})
 
-    def dimension(name: str, batch: DataFrame, natural: list[str], key: str, null_safe=False):
-        existing = store.read(name)
-        store.append(name, new_dimension_rows(batch, existing, natural, key, null_safe))
-
-    _side_by_side(
-        store.spark,
-        [
-            lambda: store.append("DIM_JOB", new_jobs(rows, store.read("DIM_JOB"), order)),
-            lambda: dimension("DIM_COMPANY", companies(rows), ["COMPANY_NAME"], "COMPANY_KEY"),
-            lambda: dimension(
-                "DIM_LOCATION", locations(rows), ["CITY", "LOCATION"], "LOCATION_KEY", True
-            ),
-            lambda: dimension("DIM_SKILL", skills(rows), ["SKILL_NAME"], "SKILL_KEY"),
-            lambda: store.append(
-                "DIM_DATE", keys.absent(calendar(rows), store.read("DIM_DATE"), ["DATE_KEY"])
-            ),
-        ]
-    )
-    star = store.tables()
-    _side_by_side(
-        store.spark,
-        [
-            lambda: store.append("FACT_JOBS", new_facts(rows, star, order, **sizes)),
-            lambda: store.append("BRIDGE_JOB_SKILL", new_bridge_rows(rows, star, **sizes)),
-        ]
+
+def summary(spark: SparkSession, counts: dict[str, Counts]) -> DataFrame:
+    """Per table of the star how many of the offered rows were inserted, had existed, and were missed."""
+    return spark.createDataFrame(
+        [(name, counts[name].inserted, counts[name].existed, counts[name].missed) for name in SCHEMAS if name in counts],
+        "table_name string, inserted bigint, existed bigint, missed bigint",
     )
 
 
 def load_with_summary(silver: DataFrame, store: StarStore, order: Sequence[str], **sizes) -> DataFrame:
-    """:func:`load`, and per table how many rows were inserted and how many existed."""
-    before = {name: store.count(name) for name in SCHEMAS}
-    load(silver, store, order, **sizes)
-    offered = candidates(load_input(silver, order))
-    parts = None
-    for name in SCHEMAS:
-        inserted = store.count(name) - before[name]
-        part = offered[name].select(
-            F.lit(name).alias("table_name"),
-            F.lit(inserted).cast("bigint").alias("inserted"),
-            (F.col("n") - inserted).cast("bigint").alias("existed"),
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    """:func:`load`, and the counts its writes took."""
+    return summary(store.spark, load(silver, store, order, **sizes).counts)

@@ -582,6 +582,29 @@ def load_summary(spark, sf_dir):
     return _two_loads(spark, sf_dir)[1]
 
 
+def _late_dimensions(spark: SparkSession, sf_dir: str) -> gold.Loaded:
+    """The facts of all postings meet dimensions of the older ones only."""
+    history, newer = fixtures.history_and_batch(spark, sf_dir)
+    store = _new_store(spark)
+    older, everything = (
+        gold.load_input(tables.stage(silver.silver(rows, ORDER, keep=ORDER), "silver"), ORDER)
+        for rows in (history, history.unionByName(newer))
+    )
+    gold.load_dimensions(older, store, ORDER)
+    return gold.load_facts(everything, store, ORDER)
+
+
+@query
+def load_summary_missed(spark, sf_dir):
+    return gold.summary(spark, _late_dimensions(spark, sf_dir).counts)
+
+
+@query
+def load_missed(spark, sf_dir):
+    """The rows and mentions that a load left out, since their job or skill has no key."""
+    return _late_dimensions(spark, sf_dir).missed
+
+
 # --- reads over the star ---------------------------------------------------------------
 
 

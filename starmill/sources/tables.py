@@ -6,7 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.operators.schema import nan_to_null
@@ -154,6 +155,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, label: str, keep: Column, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The rows where ``keep``, stored as by :func:`stage`, and aggregates over all rows of ``df``.
+
+    The writing tasks count as they write: no shuffle lies between, so of a task that ran twice
+    only one result counts.  An aggregate over no rows is 0.
+    """
+    seen = Observation()
+    observed = df.observe(seen, *[column.alias(name) for name, column in counts.items()])
+    stored = stage(observed.where(keep), label)
+    return stored, {name: seen.get[name] or 0 for name in counts}
+
+
 class StarStore:
     """The star schema's tables under one folder; a table not yet written reads as empty."""
 
@@ -171,9 +184,12 @@ class StarStore:
             return self.spark.createDataFrame([], self.schemas[name])
         return reader.load(f"{self.folder}/{name}")
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        columns = T.StructType.fromDDL(self.schemas[name]).names
-        rows.select(*columns).write.format(self.fmt).mode("append").save(f"{self.folder}/{name}")
+    def append(self, name: str, rows: DataFrame) -> int:
+        """Append the rows; returns how many, counted by the tasks that wrote them."""
+        columns, seen = T.StructType.fromDDL(self.schemas[name]).names, Observation()
+        counted = rows.select(*columns).observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.format(self.fmt).mode("append").save(f"{self.folder}/{name}")
+        return seen.get["n"]
 
     def count(self, name: str) -> int:
         return self.read(name).count()
