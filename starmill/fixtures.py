@@ -65,6 +65,47 @@ FETCHED_AT = "2024-03-01 08:30:00"
 
 ORDER = ["ingest_seq"]
 
+# Spellings of a time -> what they tell of it.  "swapped": day first, which is read month first
+# where that gives a date.  "none": outside the years that are read.
+SPELLINGS = [
+    ("yyyyMMdd", "day"),
+    ("yyyyMMddHHmmss", "second"),
+    ("yyyy/M/d", "day"),
+    ("M/d/yyyy", "day"),
+    ("d/M/yyyy", "swapped"),
+    ("M/d/yyyy H:mm", "minute"),
+    ("M/d/yyyy H:mm:ss", "second"),
+    ("yyyy.M.d", "day"),
+    ("M-d-yyyy", "day"),
+    ("M.d.yyyy", "day"),
+    ("M/d/yy", "day"),
+    ("yyyy-M-d h:mm a", "minute"),
+    ("yyyy-M-d h:mm:ss a", "second"),
+    ("M/d/yyyy h:mm a", "minute"),
+    ("M/d/yyyy h:mm:ss a", "second"),
+    ("d MMM yyyy H:mm", "minute"),
+    ("d MMMM yyyy H:mm", "minute"),
+    ("d MMM yyyy H:mm:ss", "second"),
+    ("d MMM yyyy", "day"),
+    ("d MMMM yyyy", "day"),
+    ("MMM d, yyyy", "day"),
+    ("MMM d, yyyy H:mm", "minute"),
+    ("MMMM d, yyyy", "day"),
+    ("MMMM d, yyyy H:mm", "minute"),
+    ("MMM d yyyy", "day"),
+    ("MMMM d yyyy", "day"),
+    ("MMM yyyy", "month"),
+    ("MMMM yyyy", "month"),
+    ("yyyy-MM-dd", "day"),
+    ("yyyy-MM-dd HH:mm:ss", "second"),
+    ("yyyy-MM-dd'T'HH:mm'Z'", "minute"),
+    ("yyyy-MM", "month"),
+    ("yyyy", "year"),
+    ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "second"),
+    ("'1500'-MM-dd", "none"),
+    ("'2300'-MM-dd", "none"),
+]
+
 
 def select_sql(columns: dict[str, str], source: str, extra: str = "") -> str:
     listed = ",\n  ".join(f"{e} AS {n}" for n, e in columns.items())
@@ -99,6 +140,16 @@ def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_tables(spark, sf_dir, raw_jobs_sql())
 
 
+def spelled_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's time in one of the spellings."""
+    orders = spread(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    time = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(secs=F.col("o_orderkey") % 86_400)
+    which = F.col("o_orderkey") % len(SPELLINGS)
+    spelled = F.coalesce(*[F.when(which == i, F.date_format(time, f)) for i, (f, _) in enumerate(SPELLINGS)])
+    fetched = F.lit(FETCHED_AT).cast("timestamp")
+    return orders.select("o_orderkey", spelled.alias("spelled"), fetched.alias("fetched_at"))
+
+
 def history_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All raw postings in two runs: older orders, then newer ones."""
     rows = raw_jobs(spark, sf_dir)

@@ -17,10 +17,13 @@ _DIGITS = [
 _ASCII_DIGITS = "".join(str(unicodedata.decimal(d)) for d in _DIGITS)
 
 # Timestamps outside this range are not representable in the rules' nanosecond clock.
-_EARLIEST = "1677-09-21 00:12:44"
+_EARLIEST, _LATEST = "1677-09-21 00:12:44", "2262-04-11 23:47:16.854775"
 _LONGEST_SPAN = 585 * 366 * 86_400
 _TOO_LONG = _LONGEST_SPAN + 1
 
+# Two digits of a year are 1969 to 2068.
+_FIRST_OF_NEXT = 2069
+
 
 def ascii_digits(c: Column) -> Column:
     return F.translate(c, "".join(_DIGITS), _ASCII_DIGITS)
@@ -55,6 +58,12 @@ _NUMERIC_SHAPES = [
     (r"\d{1,2}/\d{1,2}/\d{2}", ["M/d/yy", "d/M/yy"]),
     (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2} [AaPp][Mm]", ["yyyy-M-d h:mm a"]),
     (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AaPp][Mm]", ["M/d/yyyy h:mm a", "d/M/yyyy h:mm a"]),
+    (r"\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]", ["yyyy-M-d h:mm:ss a"]),
+    (r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}", ["M/d/yyyy H:mm:ss", "d/M/yyyy H:mm:ss"]),
+    (
+        r"\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]",
+        ["M/d/yyyy h:mm:ss a", "d/M/yyyy h:mm:ss a"],
+    ),
     (r"\d{1,2} \p{L}{3} \d{4} \d{1,2}:\d{2}", ["d MMM yyyy H:mm"]),
     (r"\d{1,2} \p{L}{4,9} \d{4} \d{1,2}:\d{2}", ["d MMMM yyyy H:mm"]),
     (r"\d{1,2} \p{L}{3} \d{4} \d{1,2}:\d{2}:\d{2}", ["d MMM yyyy H:mm:ss"]),
@@ -81,6 +90,10 @@ def _by_shape(text: Column, shapes: list[tuple[str, list[str]]]) -> Column:
     chain = None
     for shape, formats in shapes:
         parsed = F.coalesce(*[F.try_to_timestamp(F.initcap(text), F.lit(f)) for f in formats])
+        if formats[0].endswith("/yy"):
+            parsed = F.when(F.year(parsed) < _FIRST_OF_NEXT, parsed).otherwise(
+                parsed - F.make_ym_interval(F.lit(100))
+            )
         matches = text.rlike(f"^{shape}$")
         chain = F.when(matches, parsed) if chain is None else chain.when(matches, parsed)
     return chain
@@ -97,6 +110,8 @@ def absolute_time(text: Column) -> Column:
     text = F.when(text.rlike(r"^\p{L}{3}, \d"), mail).otherwise(text)
     # A date alone also ends in "-dd"; only text with a clock time can carry a zone.
     zoned = F.regexp_replace(text, r"([+-]\d{2}):?(\d{2})$", "$1:$2")
+    # The cast reads a zone only behind seconds.
+    zoned = F.regexp_replace(zoned, r"([T ]\d{1,2}:\d{2})(?=$|[^:\d])", "$1:00")
     iso = F.when(text.contains(":"), zoned).otherwise(text).try_cast("timestamp")
     return (
         F.when(text.rlike(_ISO), iso)
@@ -150,10 +165,9 @@ def with_posted_time(df: DataFrame, value: str, fetched: str, out: str) -> DataF
         out,
         F.when(F.col(back).isNotNull(), relative).otherwise(absolute_time(F.col(text))),
     )
-    # Before the first instant the rules' clock can tell, there is no time.
-    rows = rows.withColumn(
-        out, F.when(F.col(out) >= F.lit(_EARLIEST).cast("timestamp"), F.col(out))
-    )
+    # Outside the instants that the rules' clock can tell, there is no time.
+    first, last = (F.lit(t).cast("timestamp") for t in (_EARLIEST, _LATEST))
+    rows = rows.withColumn(out, F.when(F.col(out).between(first, last), F.col(out)))
     return rows.drop(text, count, unit, back, *digits)
 
 

@@ -388,6 +388,7 @@ def keep_last(source: str) -> str:
 
 ORACLES["normalize_payload"] = NORMALISED
 ORACLES["extract_skills_documents"] = f"SELECT doc_id, {terms('text')} AS skills FROM documents"
+ORACLES["extract_skills_automaton"] = ORACLES["extract_skills_documents"]
 _TEXT = "job_title || ' ' || description"
 ORACLES["extract_skills_postings"] = with_raw(
     f"SELECT ingest_seq, {terms(_TEXT)} AS skills, {terms(_TEXT, strict=False)} "
@@ -461,6 +462,19 @@ _TIMES = (
     f"f AS (SELECT ingest_seq, {fetched('fetched_at')} AS fetched_at, posted_at AS value FROM t), "
     f"p AS (SELECT ingest_seq, fetched_at, {posted('value', 'fetched_at')} AS posted_at FROM f)"
 )
+_TOLD = {
+    "swapped": "CASE WHEN day(t) <= 12 THEN make_timestamp(year(t), day(t), month(t), 0, 0, 0) "
+    "ELSE date_trunc('day', t) END",
+    "none": "CAST(NULL AS TIMESTAMP)",
+}
+_SPELLED = " ".join(
+    f"WHEN {i} THEN " + _TOLD.get(told, f"date_trunc('{told}', t)") for i, (_, told) in enumerate(fixtures.SPELLINGS)
+)
+ORACLES["posted_at_spellings"] = (
+    f"SELECT o_orderkey, {shown('told')} AS posted_at FROM (SELECT o_orderkey, "
+    f"CASE o_orderkey % {len(fixtures.SPELLINGS)} {_SPELLED} END AS told FROM (SELECT o_orderkey, "
+    "CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS t FROM orders))"
+)
 ORACLES["posted_at"] = with_raw(
     f"SELECT ingest_seq, {shown('fetched_at')} AS fetched_at, {shown('posted_at')} AS posted_at FROM p",
     _TOKENS, _TIMES,

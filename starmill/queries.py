@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmill import fixtures, rules
 from starmill.fixtures import ORDER
-from starmill.functions import classify, dates
+from starmill.functions import classify, dates, dictionary
 from starmill.functions import text as T
 from starmill.operators import dedup, keys, quality
 from starmill.operators.schema import align, upper_names
@@ -99,6 +99,12 @@ def extract_skills_documents(spark, sf_dir):
     return docs.select("doc_id", T.terms_text(F.col("text"), rules.SKILL_TERMS).alias("skills"))
 
 
+@query
+def extract_skills_automaton(spark, sf_dir):
+    docs = tables.spread(fixtures.read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", dictionary.terms_text(spark, F.col("text"), rules.SKILL_TERMS).alias("skills"))
+
+
 @query
 def extract_skills_postings(spark, sf_dir):
     text = F.concat_ws(" ", "job_title", "description")
@@ -299,6 +305,14 @@ def posted_at(spark, sf_dir):
     return _shown(rows.select("ingest_seq", "fetched_at", "posted_at"))
 
 
+@query
+def posted_at_spellings(spark, sf_dir):
+    """Absolute times read back from every spelling."""
+    rows = fixtures.spelled_times(spark, sf_dir)
+    read = dates.with_posted_time(rows, "spelled", "fetched_at", "posted_at")
+    return _shown(read.select("o_orderkey", "posted_at"))
+
+
 @query
 def date_parts(spark, sf_dir):
     rows = silver.date_parts(silver.times(silver.tokens_to_null(_raw(spark, sf_dir))))

@@ -72,6 +72,21 @@ def at(text):
             "JANUARY 5, 2024": "2024-01-05",
             "5 january 2024": "2024-01-05",
             "Jan 2024": "2024-01-01",
+            "2024-01-05T10:00Z": "2024-01-05 10:00:00",
+            "2024-01-05 10:00": "2024-01-05 10:00:00",
+            "2024-01-05 9:05": "2024-01-05 09:05:00",
+            "2024-01-05 10:00+03:00": "2024-01-05 07:00:00",
+            "2024-01-05 10:00 +0300": "2024-01-05 07:00:00",
+            "2024-01-05 10:00:00 UTC": "2024-01-05 10:00:00",
+            "1500-01-01": None,
+            "9999-12-31": None,
+            "2262-04-11": "2262-04-11",
+            "2262-04-12": None,
+            "1677-09-22": "1677-09-22",
+            "2024-01-05 10:00:07 pm": "2024-01-05 22:00:07",
+            "13/02/2024 1:02:03 AM": "2024-02-13 01:02:03",
+            "2/29/72": "1972-02-29",
+            "1/5/68": "2068-01-05",
         },
     ],
 )
