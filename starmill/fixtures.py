@@ -6,6 +6,9 @@ sides of a check start from the same text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,6 +143,22 @@ def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_tables(spark, sf_dir, raw_jobs_sql())
 
 
+def _as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    yield pd.DataFrame({"value": ["["]})
+    first = True
+    for batch in batches:
+        lines = [("" if first and i == 0 else ",") + line for i, line in enumerate(batch["value"])]
+        first = first and not lines
+        yield pd.DataFrame({"value": lines})
+    yield pd.DataFrame({"value": ["]"]})
+
+
+def write_arrays(rows: DataFrame, folder: str) -> None:
+    """Each partition as a file that is one JSON array."""
+    lines = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    lines.mapInPandas(_as_array, "value string").write.text(folder)
+
+
 def spelled_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order's time in one of the spellings."""
     orders = spread(read(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))

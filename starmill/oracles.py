@@ -394,6 +394,7 @@ ORACLES["extract_skills_postings"] = with_raw(
     f"SELECT ingest_seq, {terms(_TEXT)} AS skills, {terms(_TEXT, strict=False)} "
     "AS skills_loose_edges FROM raw"
 )
+ORACLES["array_file_split"] = with_raw("SELECT ingest_seq, job_title, skills, description, location FROM raw")
 ORACLES["batch_dedup"] = BATCH
 ORACLES["history_merge"] = keep_last(RUNS)
 ORACLES["history_merge_incremental"] = keep_last(RUNS)

@@ -16,7 +16,7 @@ from starmill.operators.schema import align, upper_names
 from starmill.plans import analytics, bronze, gold, rollups, silver
 from starmill.plans import run as runs
 from starmill.session import configure
-from starmill.sources import landing, tables
+from starmill.sources import arrays, landing, tables
 from starmill.sources.lake import Lake, content
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,16 @@ def extract_skills_postings(spark, sf_dir):
     )
 
 
+@query
+def array_file_split(spark, sf_dir):
+    """Postings written as JSON arrays, one a file, and read back by several tasks a file."""
+    columns = ["ingest_seq", "job_title", "skills", "description", "location"]
+    folder = tables.run_folder(spark, "arrays")
+    fixtures.write_arrays(_raw(spark, sf_dir).select(*columns), folder)
+    schema = "ingest_seq bigint, job_title string, skills string, description string, location string"
+    return arrays.read_array(spark, folder, schema, split_bytes=1 << 16)
+
+
 @query
 def batch_dedup(spark, sf_dir):
     rows = landing.postings(fixtures.landing(spark, sf_dir))
