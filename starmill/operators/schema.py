@@ -79,6 +79,14 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     )
 
 
-def schema_rows(df: DataFrame) -> list[tuple[str, str]]:
-    """Column names and types."""
-    return df.dtypes
+def describe(df: DataFrame) -> DataFrame:
+    """One row per column: its place, name and type, and how many of its cells hold a value."""
+    filled = df.agg(*[F.count(f"`{c}`").alias(f"n{i}") for i, c in enumerate(df.columns)])
+    rows = [
+        F.struct(
+            F.lit(i + 1).alias("position"), F.lit(name).alias("column_name"), F.lit(kind).alias("data_type"),
+            F.col(f"n{i}").alias("non_null"),
+        )
+        for i, (name, kind) in enumerate(df.dtypes)
+    ]
+    return filled.select(F.inline(F.array(*rows)))

@@ -802,3 +802,12 @@ ORACLES["first_rows"] = with_raw(
     "ORDER BY ingest_seq LIMIT 5",
     SILVER,
 )
+ORACLES["schema_dump"] = with_raw(
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{name}' AS column_name, '{kind}' AS data_type, count({name}) AS non_null FROM x_silver"
+        for i, (name, kind) in enumerate(rules.SILVER_TYPES.items(), 1)
+    ),
+    SILVER,
+)
+ORACLES["record_files"] = with_raw(_SHOWN_SILVER.replace("* REPLACE", "* EXCLUDE (ingest_seq) REPLACE"), SILVER)
+ORACLES["published_table"] = f"SELECT * FROM ({RUNS})"

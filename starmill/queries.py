@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from starmill.fixtures import ORDER
 from starmill.functions import classify, dates, dictionary
 from starmill.functions import text as T
 from starmill.operators import dedup, keys, quality
-from starmill.operators.schema import align, upper_names
+from starmill.operators.schema import align, describe, upper_names
 from starmill.plans import analytics, bronze, gold, rollups, silver
 from starmill.plans import run as runs
 from starmill.session import configure
@@ -773,6 +774,33 @@ def silver_shape(spark, sf_dir):
     return quality.shape(_silver_table(spark, sf_dir).drop(*ORDER))
 
 
+@query
+def schema_dump(spark, sf_dir):
+    return describe(_silver_table(spark, sf_dir).drop(*ORDER))
+
+
+@query
+def record_files(spark, sf_dir):
+    """The cleaned table through JSON records and back, with NaN in place of some missing values."""
+    folder = tables.run_folder(spark, "records")
+    cleaned = _silver_table(spark, sf_dir).drop(*ORDER)
+    month = F.coalesce(F.col("posted_month").cast("double"), F.lit(float("nan")))
+    tables.write_records(cleaned.withColumn("posted_month", month), folder)
+    read = tables.read_records(spark, folder, cleaned.withColumn("posted_month", month).schema)
+    return _shown(tables.require_rows(read, "the records").withColumn("posted_month", F.col("posted_month").cast("bigint")))
+
+
+@query
+def published_table(spark, sf_dir):
+    """A table published with the older postings, then again from itself and the newer ones."""
+    history, newer = fixtures.history_and_batch(spark, sf_dir)
+    folder, name = tables.run_folder(spark, "published"), f"postings_{uuid.uuid4().hex}"
+    tables.publish_table(history, name, folder=folder)
+    both = tables.require_table(spark, name).unionByName(newer)
+    tables.publish_table(both, name, folder=folder)
+    return tables.require_table(spark, name).select(*_MERGED)
+
+
 @query
 def first_rows(spark, sf_dir):
     """The first five cleaned postings, in row order."""

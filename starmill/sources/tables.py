@@ -99,9 +99,13 @@ def write_records(df: DataFrame, path: str) -> None:
     )
 
 
-def publish_table(df: DataFrame, name: str, fmt: str = "parquet", version: str | None = None) -> str:
+def publish_table(
+    df: DataFrame, name: str, fmt: str = "parquet", version: str | None = None, folder: str | None = None
+) -> str:
     """Write ``df`` as a new version of table ``name`` and point the name at it.
 
+    The version lies in the warehouse, or under ``folder``.
+
     The name is a view over the newest version, so ``df`` may read the table it replaces and
     readers see either the old rows or the new ones.  A format with its own versions
     ("delta") is overwritten in place.
@@ -111,7 +115,10 @@ def publish_table(df: DataFrame, name: str, fmt: str = "parquet", version: str |
         df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
         return name
     stored = f"{name}__{version or uuid.uuid4().hex[:12]}"
-    df.write.format(fmt).mode("overwrite").saveAsTable(stored)
+    writer = df.write.format(fmt).mode("overwrite")
+    if folder is not None:
+        writer = writer.option("path", f"{folder.rstrip('/')}/{stored}")
+    writer.saveAsTable(stored)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {stored}")
     return stored
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from starmill.operators import quality
+from starmill.operators.schema import describe
 
 
 def frame(spark):
@@ -55,3 +56,9 @@ def test_counts_and_shape(spark):
     df = frame(spark)
     assert rows(quality.row_counts({"t": df, "u": df.limit(1)})) == {"t": (4,), "u": (1,)}
     assert tuple(quality.shape(df).first()) == (4, 4)
+
+
+def test_describe_counts_values_per_column(spark):
+    rows = spark.createDataFrame([(1, None), (None, None), (3, "x")], "`a.b` int, c string")
+    assert [tuple(r) for r in describe(rows).collect()] == [(1, "a.b", "int", 2), (2, "c", "string", 1)]
+    assert [r.non_null for r in describe(rows.limit(0)).collect()] == [0, 0]
