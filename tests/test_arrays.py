@@ -53,3 +53,14 @@ def test_other_files_raise(spark, tmp_path, text):
     with pytest.raises(Exception, match="whole JSON array|no objects|between its elements") as raised:
         array_elements(spark, str(tmp_path), 100).collect()
     assert isinstance(raised.value, NoArray) or "NoArray" in str(raised.value)
+
+
+def test_many_small_splits_take_few_tasks(spark, tmp_path):
+    records = [{"i": i, "s": '}"{' * (i % 5)} for i in range(3000)]
+    for name in "ab":
+        (tmp_path / f"{name}.json").write_text(json.dumps(records))
+    elements = array_elements(spark, str(tmp_path), 400)
+    assert elements.select("block").distinct().count() > 100
+    assert len(elements.inputFiles()) <= spark.sparkContext.defaultParallelism
+    got = elements.where("file LIKE '%b.json'").orderBy("block", "n").collect()
+    assert [json.loads(e.json) for e in got] == records
