@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.sources.tables import spread
+from starmill.sources.tables import at_most, spread
 
 # One row per order.  A part is picked by the order number, over the whole part table.
 BASE_SQL = """
@@ -130,12 +130,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _from_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     tables = {n: read(spark, sf_dir, n) for n in ("orders", "customer", "nation", "part")}
     columns = ["o_orderkey", "o_custkey", "o_orderdate"]
+    rows = tables["orders"].count()
     tables["orders"] = spread(tables["orders"].select(*columns))
-    for name, df in tables.items():
-        sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}").replace(
+    joined = BASE_SQL
+    for name in tables:
+        joined = joined.replace(f"FROM {name}", f"FROM {{{name}}}").replace(
             f"JOIN {name}", f"JOIN {{{name}}}"
         )
-    return spark.sql(sql, **tables)
+    # Joined rows are a tenth as wide as the postings made of them: dealt out while they are narrow.
+    base = at_most(spark.sql(joined, **tables), rows, "k")
+    return spark.sql(sql.replace(f"({BASE_SQL})", "{base}"), base=base)
 
 
 def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

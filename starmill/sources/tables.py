@@ -44,6 +44,21 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+#: Rows that one task should widen and rank; some hundreds of bytes each are held while it sorts.
+ROWS_PER_TASK = 300_000
+
+
+def at_most(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """``df``, which has ``rows`` rows, dealt out by distinct keys so that no task gets many more than :data:`ROWS_PER_TASK`.
+
+    For narrow rows ahead of steps that widen and sort them: a split of a well packed table or
+    a merged shuffle partition holds rows by their packed bytes, in the end millions.  Tables with
+    few enough rows for the session's cores are returned as they are.
+    """
+    tasks = -(-rows // ROWS_PER_TASK)
+    return df.repartition(tasks, *by) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -3,9 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from starmill import rules
+from starmill import fixtures, rules
 from starmill.plans import bronze
-from starmill.sources import landing
+from starmill.sources import landing, tables
 
 
 def write(folder, name, jobs):
@@ -114,3 +114,13 @@ def test_batch_keeps_the_first_posting_of_the_first_file(spark, tmp_path):
     rows = landing.postings(landing.read_payloads(spark, str(tmp_path / "in")))
     got = bronze.batch(rows.withColumn("ingest_run", F.lit(1)), "2024-03-01 08:30:00", landing.FILE_ORDER)
     assert sorted((r.job_title, r.skills) for r in got.collect()) == [("first file sql", "SQL"), ("x", "N/A")]
+
+
+@pytest.mark.parametrize("build", [fixtures.raw_jobs, fixtures.landing])
+def test_a_task_widens_and_ranks_a_bounded_number_of_rows(spark, sf_dir, monkeypatch, build):
+    whole = build(spark, sf_dir).select("ingest_seq").collect()
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 50)
+    dealt = build(spark, sf_dir)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 110 < len(whole) / spark.sparkContext.defaultParallelism
+    assert sorted(dealt.select("ingest_seq").collect()) == sorted(whole)
