@@ -10,11 +10,22 @@ from pyspark.sql import functions as F
 
 from starmill.sources.tables import run_folder, stage
 
-__all__ = ["ROW", "by_row", "read", "run_folder", "stage", "text_of", "with_row_key"]
+__all__ = ["ROW", "bounded_batches", "by_row", "read", "run_folder", "stage", "text_of", "with_row_key"]
 
 #: Column that names a row among others of the same doc_id.
 ROW = "__row"
 
+#: Rows and bytes of whole texts that go to Python, and come back, at a time.
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Small Arrow batches: each is held several times, in the executor, on its way, in Python and as a result."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -1,8 +1,10 @@
 """The pipeline's stages on a whole small table, each against what its input says by itself."""
 
 import numpy as np
+import pandas as pd
 
 import corpus_pipeline
+from starmill.llm import common
 from starmill.llm import decontaminate as D
 from starmill.llm.common import read, stage
 
@@ -39,3 +41,20 @@ def test_stages_one_after_another(spark, sf_dir):
         lengths[p.doc_id] = lengths.get(p.doc_id, 0) + p.length
         wanted[p.doc_id] = p.doc_tokens
     assert lengths == wanted and set(lengths) == {r.doc_id for r in before}
+
+
+def test_texts_go_to_python_in_small_batches(spark, sf_dir):
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    held, docs = {k: spark.conf.get(k) for k in (rows, size)}, read(spark, sf_dir, "documents")
+    try:
+        for _, work in corpus_pipeline.STAGES:
+            spark.conf.set(rows, "10000")
+            spark.conf.set(size, str(1 << 30))
+            work(spark, docs, sf_dir)
+            texts = spark.range(0, 4000, 1, 1).selectExpr("repeat('x', 20000) AS text")
+            counted = texts.mapInPandas(lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n long")
+            sizes = [r.n for r in counted.collect()]
+            assert max(sizes) <= common.BATCH_ROWS and max(sizes) * 20_000 < 2 * common.BATCH_BYTES
+    finally:
+        for k, value in held.items():
+            spark.conf.set(k, value)
