@@ -48,13 +48,18 @@ def job_id(title: Column, company: Column, location: Column, link: Column) -> Co
 
 
 def load_input(silver: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Silver in upper-case names with the job id; only what the star needs."""
+    """Silver in upper-case names with the job id; only what the star needs.
+
+    What this gave comes back as it is: stored, it saves hashing the id for each table that reads it.
+    """
+    needed = [*[o.upper() for o in order], *rules.GOLD_INPUT_COLUMNS]
+    if silver.columns == [*needed, "JOB_ID"]:
+        # Read back, a column may hold NULL as far as the optimizer knows.
+        return silver.withColumn("JOB_ID", T.or_blank(F.col("JOB_ID")))
     upper = require_columns(upper_names(silver), rules.GOLD_INPUT_COLUMNS, "the cleaned table")
     c = F.col
     return upper.select(
-        *[c(o.upper()) for o in order],
-        *rules.GOLD_INPUT_COLUMNS,
-        job_id(c("JOB_TITLE"), c("COMPANY"), c("LOCATION"), c("APPLY_LINK")).alias("JOB_ID"),
+        *needed, job_id(c("JOB_TITLE"), c("COMPANY"), c("LOCATION"), c("APPLY_LINK")).alias("JOB_ID")
     )
 
 

@@ -559,15 +559,17 @@ def table_counts(spark, sf_dir):
     return quality.row_counts(_star(spark, sf_dir))
 
 
+def _offered(rows: DataFrame) -> DataFrame:
+    """Raw postings, cleaned and stored as a load takes them, with their job ids."""
+    return tables.stage(gold.load_input(silver.silver(rows, ORDER, keep=ORDER), ORDER), "silver")
+
+
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[tables.StarStore, DataFrame]:
     """First the older postings, then all of them; the summary is of the second load."""
     history, newer = fixtures.history_and_batch(spark, sf_dir)
     store = _new_store(spark)
-    first = tables.stage(silver.silver(history, ORDER, keep=ORDER), "silver")
-    gold.load(first, store, ORDER)
-    everything = silver.silver(history.unionByName(newer), ORDER, keep=ORDER)
-    second = tables.stage(everything, "silver")
-    return store, gold.load_with_summary(second, store, ORDER)
+    gold.load(_offered(history), store, ORDER)
+    return store, gold.load_with_summary(_offered(history.unionByName(newer)), store, ORDER)
 
 
 @query
@@ -584,7 +586,7 @@ def rollups_after_loads(spark, sf_dir):
     store = _new_store(spark)
     kept = rollups.Rollups(store)
     for postings in (history, history.unionByName(newer)):
-        gold.load(tables.stage(silver.silver(postings, ORDER, keep=ORDER), "silver"), store, ORDER)
+        gold.load(_offered(postings), store, ORDER)
         kept.refresh()
     kept.refresh()
     remote = F.lit(None).cast("bigint").alias("remote_postings")
@@ -612,7 +614,7 @@ def _late_dimensions(spark: SparkSession, sf_dir: str) -> gold.Loaded:
     history, newer = fixtures.history_and_batch(spark, sf_dir)
     store = _new_store(spark)
     older, everything = (
-        gold.load_input(tables.stage(silver.silver(rows, ORDER, keep=ORDER), "silver"), ORDER)
+        gold.load_input(_offered(rows), ORDER)
         for rows in (history, history.unionByName(newer))
     )
     gold.load_dimensions(older, store, ORDER)

@@ -55,8 +55,9 @@ def at_most(df: DataFrame, rows: int, *by: str) -> DataFrame:
     a merged shuffle partition holds rows by their packed bytes, in the end millions.  Tables with
     few enough rows for the session's cores are returned as they are.
     """
-    tasks = -(-rows // ROWS_PER_TASK)
-    return df.repartition(tasks, *by) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    rounds = -(-rows // (ROWS_PER_TASK * cores))
+    return df.repartition(rounds * cores, *by) if rounds > 1 else df
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

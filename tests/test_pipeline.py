@@ -406,3 +406,11 @@ def test_only_touched_postings_are_cleaned_again(spark):
 
     assert shown(got) == shown(whole)
     assert [r.job_title for r in got if r.source == "as it was"] == ["Alone"]
+
+
+def test_stored_load_input_is_not_hashed_again(spark, sf_dir):
+    cleaned = silver.silver(fixtures.raw_jobs(spark, sf_dir).drop("o_orderdate"), ORDER, keep=ORDER)
+    once = tables.stage(gold.load_input(cleaned, ORDER), "test-load-input")
+    again = gold.load_input(once, ORDER)
+    assert "sha2" not in again._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, gold.load_input(cleaned, ORDER).collect()))
