@@ -8,9 +8,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.sources.tables import run_folder, stage
+from starmill.sources.tables import run_folder, stage, stage_counted
 
-__all__ = ["ROW", "bounded_batches", "by_row", "read", "run_folder", "stage", "text_of", "with_row_key"]
+__all__ = ["ROW", "bounded_batches", "by_row", "read", "run_folder", "stage", "stage_counted", "text_of", "with_row_key"]
 
 #: Column that names a row among others of the same doc_id.
 ROW = "__row"

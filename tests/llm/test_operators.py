@@ -5,6 +5,8 @@ import hashlib
 import json
 import re
 import struct
+import subprocess
+import sys
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -12,6 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pytest
 import xxhash
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 from starmill.llm import (
@@ -98,6 +101,80 @@ def test_top_k_odd_vectors(spark):
     assert topk.top_k(vectors.where("false"), vectors.where("false")).count() == 0
 
 
+def test_top_k_of_vectors_of_all_lengths(spark):
+    rng = np.random.default_rng(5)
+    vectors = [(i, rng.integers(-600, 600, 6).tolist()) for i in range(300)]  # products fit 24 bits
+    vectors += [(i, rng.integers(-(2**20), 2**20, 6).tolist()) for i in range(300, 400)]  # 53 bits
+    vectors += [(i, rng.integers(-(2**40), 2**40, 6).tolist()) for i in range(400, 420)]  # more than a long
+    vectors += [(420, [2**63 - 1] * 6), (421, [-(2**63) + 1] * 6), (2**63 - 1, [3] * 6), (-(2**63), [3] * 6)]
+    vectors += [(i % 7, [50] * 6) for i in range(1, 90)]  # an id has many rows; equal scores
+    vectors += [(i, rng.integers(-600, 600, i % 6).tolist()) for i in range(1000, 1060)]
+    df = spark.createDataFrame(vectors, "vec_id long, vec array<long>").repartition(5)
+    asked = [v for v in vectors if v[0] % 20 == 0 or v[0] > 410]
+    got = topk.top_k(spark.createDataFrame(asked, df.schema), df, k=7, pivots=5, sample=40)
+    want = Counter()
+    for qid, q in {i: min(v for j, v in asked if j == i) for i, _ in asked}.items():
+        scored = [(-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(q, v, strict=False)))), i) for i, v in vectors if i != qid]
+        want.update((qid, r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:7], 1))
+    assert rows_of(got, "query_id", "rank", "vec_id", "score") == want
+
+
+def test_top_k_without_width(spark):
+    df = spark.createDataFrame([(i, []) for i in range(30)], "vec_id long, vec array<long>")
+    got = topk.top_k(df.where("vec_id < 2"), df, k=3)
+    assert rows_of(got, "query_id", "rank", "vec_id", "score") == Counter([(0, r, r, 0) for r in (1, 2, 3)] + [(1, 1, 0, 0), (1, 2, 2, 0), (1, 3, 3, 0)])
+
+
+def test_groups_are_eliminated():
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.integers(-40, 40, (2000, 8)) + c for c in rng.integers(-900, 900, (10, 8))])
+    pivots = topk.farthest_first(points, 12)
+    table = topk._distances(points, pivots)
+    order = np.lexsort((table.min(axis=1), table.argmin(axis=1)))
+    starts = np.arange(0, len(points), topk.GROUP)
+    narrow = [f(table[order], starts).astype("<f4").tobytes() for f in (np.minimum.reduceat, np.maximum.reduceat)]
+    ids = np.arange(len(points))
+    block = topk._Block({"ids": order.astype("<i8").tobytes(), "kind": 0, "points": topk._narrow(points[order]), "low": narrow[0], "high": narrow[1]}, 8)
+    asked = ids[::400]
+    floors = np.full(len(asked), -(2**63)).astype("<i8").tobytes()
+    best = topk._Best({"q_ids": asked.astype("<i8").tobytes(), "q_kind": 0, "q_points": topk._narrow(points[asked]), "q_table": table[asked].astype("<f8").tobytes(), "q_floors": floors}, 8, 5)
+    for _ in range(2):  # the second time with the scores of the first
+        best.offer(block, pivots)
+        best.merge()
+    assert best.evaluated < 0.6 * 2 * len(asked) * len(points)
+    scores = points[asked] @ points.T
+    scores[np.arange(len(asked)), asked] = -(2**62)
+    assert best.best[:, 0].tolist() == scores.max(axis=1).tolist()
+
+
+@pytest.mark.parametrize("sample", [16, 2048])
+def test_sample_is_small_where_it_is_read(spark, sample):
+    """It was sorted out from all rows: each task sent ``sample`` rows to the driver."""
+    df = spark.range(20_000).selectExpr("id AS vec_id", "array(id, -id) AS vec").repartition(40)
+    rows = {r.vec_id for r in topk._sample(df, 20_000, sample).collect()}
+    by_hash = df.orderBy(F.xxhash64("vec_id")).limit(sample)
+    assert rows == {r.vec_id for r in by_hash.collect()}
+    one = df.select(F.lit(7).cast("long").alias("vec_id"), "vec")  # no hash may lie below the first limit
+    assert topk._sample(one, 20_000, sample).count() == sample
+
+
+def test_top_k_in_little_memory():
+    """Many candidate blocks: query blocks were copied to each of them, through the driver or a shuffle."""
+    code = """
+from pyspark.sql import functions as F
+from starmill import local_session
+from starmill.llm import topk
+spark = local_session(2, "500m")
+x = [F.floor(2000 * F.rand(i)) - 1000 for i in range(64)]
+df = spark.range(0, 24000, 1, 150).select(F.col("id").alias("vec_id"), F.array(*x).alias("vec"))
+got = topk.top_k(df.where("vec_id % 4 = 0"), df, pivots=8, sample=256)
+print("ROWS", got.count(), "Broadcast" in got._jdf.queryExecution().executedPlan().toString())
+spark.stop()
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600, cwd=ROOT)
+    assert "ROWS 60000 False" in done.stdout, done.stderr[-1500:]
+
+
 # --- pseudonyms ----------------------------------------------------------------------------
 
 
