@@ -34,11 +34,13 @@ from starmill.llm.common import bounded_batches, stage, stage_counted
 
 PIVOTS = 64
 SAMPLE = 2048
-#: Rows of a block and of a group, fewer of wide vectors; blocks of a task's share of the candidates and of the queries.
+#: Rows of a block and of a group, fewer of wide vectors.
 CANDIDATE_BLOCK = 8192
 QUERY_BLOCK = 2048
 GROUP = 256
-SLICE = 32
+#: Blocks of candidates, which pass one after another, and of queries, which are held, of a task.
+CANDIDATE_SLICE = 32
+QUERY_SLICE = 16
 _AT_ONCE = 128
 _GROUPS_AT_ONCE = 4
 _QUERIES_AT_ONCE = 1024
@@ -153,7 +155,7 @@ def _batch(**columns) -> pa.RecordBatch:
 
 
 _BLOCK = "block long, kind int, ids binary, points binary, low binary, high binary"
-_ASKED = "q_block long, q_kind int, q_ids binary, q_points binary, q_table binary, q_floors binary"
+_ASKED = "q_block long, q_kind int, q_ids binary, q_points binary, q_floors binary"
 
 
 def _packed(size: int, width: int, pivots: np.ndarray):
@@ -162,9 +164,9 @@ def _packed(size: int, width: int, pivots: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for ids, points in _bunches(batches, min(4 * size, max(size, (16 << 20) // (8 * max(width, 1)))), width):
-            table = _distances(points, pivots) if len(pivots) else np.zeros((len(ids), 0))
-            nearest = table.argmin(axis=1) if len(pivots) else np.zeros(len(ids), dtype=np.int64)
-            order = np.lexsort((table[np.arange(len(ids)), nearest] if len(pivots) else nearest, nearest))
+            table = _distances(points, pivots)
+            nearest = table.argmin(axis=1)  # there is a pivot where there are candidates
+            order = np.lexsort((table[np.arange(len(ids)), nearest], nearest))
             for kind, rows in _cut(_kinds(_squares(points)), order, size):
                 starts, own = np.arange(0, len(rows), GROUP), table[rows]
                 yield _batch(
@@ -180,20 +182,18 @@ def _packed(size: int, width: int, pivots: np.ndarray):
     return run
 
 
-def _asked(size: int, width: int, pivots: np.ndarray, seed_ids: np.ndarray, seeds: np.ndarray, k: int):
-    """Packs queries into blocks with their pivot tables and their k-th best scores among the seeds."""
+def _asked(size: int, width: int, seed_ids: np.ndarray, seeds: np.ndarray, k: int):
+    """Packs queries into blocks with their k-th best scores among the seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for ids, points in _bunches(batches, size, width):
             for kind, rows in _cut(_kinds(_squares(points)), np.arange(len(ids)), size):
-                table = _distances(points[rows], pivots) if len(pivots) else np.zeros((len(rows), 0))
                 yield _batch(
                     q_block=pa.array([number], pa.int64()),
                     q_kind=pa.array([kind], pa.int32()),
                     q_ids=[ids[rows].astype("<i8").tobytes()],
                     q_points=[_narrow(points[rows])],
-                    q_table=[table.astype("<f8").tobytes()],
                     q_floors=[_floors(ids[rows], points[rows], kind, seed_ids, seeds, k).astype("<i8").tobytes()],
                 )
                 number += 1
@@ -287,31 +287,31 @@ class _Block:
     def alone(self, pivots: np.ndarray) -> dict:
         """What :func:`_search` needs."""
         if self._table is None:
-            self._table = _distances(self.points, pivots) if len(pivots) else np.zeros((len(self.ids), 0))
+            self._table = _distances(self.points, pivots)
         return {"ids": self.ids, "points": self.points.astype(np.int64), "table": self._table, "squares": self.squares}
 
 
 class _Best:
-    """A query block and the best ``k`` of each of its queries so far."""
+    """A query block with its pivot table, and the best ``k`` of each of its queries so far."""
 
-    def __init__(self, row: dict, width: int, k: int):
+    def __init__(self, row: dict, width: int, k: int, pivots: np.ndarray):
         self.ids = np.frombuffer(row["q_ids"], dtype="<i8").copy()
         count = len(self.ids)
         self.kind, self.k, self.count = row["q_kind"], k, count
         self.points = _wide(row["q_points"], count, width).astype(np.int64 if row["q_kind"] == 2 else np.float64 if row["q_kind"] else np.float32)
         self.squares = _squares(self.points)
-        self.table = np.frombuffer(row["q_table"], dtype="<f8").reshape(count, -1).copy()
-        self.columns = np.ascontiguousarray(self.table.T, dtype=np.float32)
+        self.pivots = pivots
+        self.columns = np.ascontiguousarray(_distances(self.points, pivots).T, dtype=np.float32)
         self.least = np.frombuffer(row["q_floors"], dtype="<i8").copy()  # what a score must reach
         self.last = np.full(count, _MOST.max)  # up to this id a score that just reaches it counts
         self.have = np.zeros(count, dtype=np.int64)
         self.best, self.best_ids = np.zeros((count, k), dtype=np.int64), np.zeros((count, k), dtype=np.int64)
         self.new, self.waiting, self.evaluated = [], 0, 0
 
-    def offer(self, block: _Block, pivots: np.ndarray) -> None:
+    def offer(self, block: _Block) -> None:
         """Evaluates the groups of a block in the order of their bounds, until no query has a bound that its k-th score leaves."""
         if max(self.kind, block.kind) == 2:
-            return self._offer_alone(block, pivots)
+            return self._offer_alone(block)
         upper = self._bounds(block)
         order = np.argsort(-upper.max(axis=0), kind="stable")
         for at in range(0, len(order), _GROUPS_AT_ONCE):
@@ -351,11 +351,11 @@ class _Best:
         ask, row = np.divmod(np.flatnonzero(scores >= least[some, None]), len(rows))
         self._add(asks[some[ask]], block.ids[rows[row]], scores[ask, row].astype(np.int64))
 
-    def _offer_alone(self, block: _Block, pivots: np.ndarray) -> None:
-        alone, least = block.alone(pivots), self._least()
-        points = self.points.astype(np.int64)
+    def _offer_alone(self, block: _Block) -> None:
+        alone, least = block.alone(self.pivots), self._least()
+        points, table = self.points.astype(np.int64), _distances(self.points, self.pivots)
         for at in range(self.count):
-            ids, scores, evaluated = _search(int(self.ids[at]), points[at], self.table[at], alone, least[at], self.k)
+            ids, scores, evaluated = _search(int(self.ids[at]), points[at], table[at], alone, least[at], self.k)
             self.evaluated += evaluated
             self._add(np.full(len(ids), at), ids, scores)
 
@@ -403,8 +403,8 @@ def _evaluated(k: int, width: int, pivots: np.ndarray):
                 if cell("block") != number:
                     number, block = cell("block"), _Block({x: cell(x) for x in ("kind", "ids", "points", "low", "high")}, width)
                 if (q := cell("q_block")) not in found:
-                    found[q] = _Best({x: cell(x) for x in ("q_kind", "q_ids", "q_points", "q_table", "q_floors")}, width, k)
-                found[q].offer(block, pivots)
+                    found[q] = _Best({x: cell(x) for x in ("q_kind", "q_ids", "q_points", "q_floors")}, width, k, pivots)
+                found[q].offer(block)
         while found:
             yield found.popitem()[1].rows()
 
@@ -448,12 +448,12 @@ def top_k(
 
     block, asked_block = _sizes(width)
     blocks, offered = stage_counted(candidates.select("vec_id", "vec").mapInArrow(_packed(block, width, chosen), _BLOCK), "topk-blocks", F.lit(True), n=rows)
-    slices = -(-asking["n"] // (SLICE * asked_block)) or 1
+    slices = -(-asking["n"] // (QUERY_SLICE * asked_block)) or 1
     asked = stage(
-        queries.coalesce(slices).mapInArrow(_asked(asked_block, width, chosen, seed_ids, points, k), _ASKED), "topk-asked"
+        queries.coalesce(slices).mapInArrow(_asked(asked_block, width, seed_ids, points, k), _ASKED), "topk-asked"
     )
     tasks = -(-2 * spark.sparkContext.defaultParallelism // slices)
-    shares = max(-(-offered["n"] // SLICE), min(offered["n"], tasks), 1)
+    shares = max(-(-offered["n"] // CANDIDATE_SLICE), min(offered["n"], tasks), 1)
     met = blocks.coalesce(shares).hint("shuffle_replicate_nl").crossJoin(asked.coalesce(slices))
     found = met.mapInArrow(_evaluated(k, width, chosen), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -137,9 +137,9 @@ def test_groups_are_eliminated():
     block = topk._Block({"ids": order.astype("<i8").tobytes(), "kind": 0, "points": topk._narrow(points[order]), "low": narrow[0], "high": narrow[1]}, 8)
     asked = ids[::400]
     floors = np.full(len(asked), -(2**63)).astype("<i8").tobytes()
-    best = topk._Best({"q_ids": asked.astype("<i8").tobytes(), "q_kind": 0, "q_points": topk._narrow(points[asked]), "q_table": table[asked].astype("<f8").tobytes(), "q_floors": floors}, 8, 5)
+    best = topk._Best({"q_ids": asked.astype("<i8").tobytes(), "q_kind": 0, "q_points": topk._narrow(points[asked]), "q_floors": floors}, 8, 5, pivots)
     for _ in range(2):  # the second time with the scores of the first
-        best.offer(block, pivots)
+        best.offer(block)
         best.merge()
     assert best.evaluated < 0.6 * 2 * len(asked) * len(points)
     scores = points[asked] @ points.T
